@@ -127,8 +127,18 @@ class Words:
             r, inv = _powers(len(b) + 1)
             run = np.zeros(len(b) + 1, np.uint64)
             np.cumsum(_BYTE[b] * r[: len(b)], out=run[1:])
+            self.run, self.inv = run, inv
             self.h = mix((run[self.end] - run[self.start]) * inv[self.start] + (self.end - self.start).astype(np.uint64))
 
+    def prefixes(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the words of more than ``size`` bytes, and hashes of their first ``size`` bytes."""
+        i = np.flatnonzero(self.end - self.start > size)
+        at = self.start[i]
+        return i, mix((self.run[at + size] - self.run[at]) * self.inv[at] + np.uint64(0x5BD1E995 * size))
+
+    def text_of(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
+
     def text(self, i: int) -> bytes:
         return self.data[self.start[i] : self.end[i]].tobytes()
 
@@ -175,9 +185,9 @@ def shingles(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     if len(short):
         extra = []
         for i in short:
-            x = np.uint64(count[i])
+            x = int(count[i])
             for k, v in enumerate(w.h[w.first[i] : w.first[i + 1]]):
-                x = x + np.uint64((int(v) * pow(0xA0761D6478BD642F, k + 1, 1 << 64)) & _M)
+                x = (x + int(v) * pow(0xA0761D6478BD642F, k + 1, 1 << 64)) & _M
             extra.append(x)
         h, t = np.concatenate([h, mix(np.array(extra, np.uint64))]), np.concatenate([t, short])
     return h, t

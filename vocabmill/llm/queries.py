@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from . import warc, wavelet
+from . import decontaminate, toxicity, warc, wavelet
 
-QUERIES = {"op2_warc": warc.op2_warc, "op3_wavelet": wavelet.op3_wavelet}
-ORACLE_SQL = {**warc.ORACLE}
+QUERIES = {
+    "op1_decontaminate": decontaminate.op1_decontaminate,
+    "op2_warc": warc.op2_warc,
+    "op3_wavelet": wavelet.op3_wavelet,
+    "op8_toxicity": toxicity.op8_toxicity,
+}
+ORACLE_SQL = {**decontaminate.ORACLE, **warc.ORACLE}

@@ -15,11 +15,11 @@ their own; an empty table gives no shard and an empty result.
 
 from __future__ import annotations
 
-import io
 import json
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACED, Words, file_system, local_path, runs, shared_dir, small_batches, table
+from .common import SPACED, file_system, local_path, runs, shared_dir, small_batches, table
 
 MAGIC = b"WVM1"
 BLOCK = 1 << 16
@@ -42,9 +42,9 @@ def build(ids: np.ndarray, levels: int = 16) -> list[tuple[int, np.ndarray]]:
     a, planes = ids, []
     for level in range(levels - 1, -1, -1):
         one = (a >> a.dtype.type(level)) & a.dtype.type(1) != 0
-        zeros = a[~one]
+        zeros = a.take(np.flatnonzero(~one))
         planes.append((len(zeros), one))
-        a = np.concatenate([zeros, a[one]])
+        a = np.concatenate([zeros, a.take(np.flatnonzero(one))])
     return planes
 
 
@@ -151,7 +151,8 @@ class WaveletMatrix:
             packed = b"".join(self._read(p["at"][b], p["at"][b + 1]) for b in range(len(p["at"]) - 1))
             one = np.unpackbits(np.frombuffer(packed, np.uint8), count=self.n).view(bool)
             up = np.empty_like(a)
-            up[~one], up[one] = a[: p["zeros"]], a[p["zeros"] :] | np.uint16(1 << (len(self.planes) - 1 - k))
+            up[np.flatnonzero(~one)] = a[: p["zeros"]]
+            up[np.flatnonzero(one)] = a[p["zeros"] :] | np.uint16(1 << (len(self.planes) - 1 - k))
             a = up
         return a
 
@@ -200,13 +201,22 @@ class Encoder:
         if got is None:
             if len(self.words) >= self.WORDS:
                 self.words.clear()
-            got = np.array([t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.shown))], np.uint16).tobytes()
+            plain = piece.isascii() and piece.isprintable()
+            shown = piece.replace(" ", self.shown[32]) if plain else piece.encode().decode("latin-1").translate(self.shown)
+            got = array("H", [t.id for t in self.model.tokenize(shown)]).tobytes()
             self.words[piece] = got
         return got
 
     def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
-        word, cut = self._word, self.cut
-        found = [b"".join([word(x) for x in cut(p)]) for p in pieces]
+        word, cut, found = self._word, self.cut, []
+        for p in pieces:
+            body = p[1:] if p[0] == " " else p
+            if body.isalpha():  # as \\p{L}+
+                found.append(word(p))
+            elif body[-1:] in ".,!?" and body[:-1].isalpha():
+                found.append(word(p[:-1]) + word(p[-1]))
+            else:
+                found.append(b"".join([word(x) for x in cut(p)]))
         size = np.array([len(x) // 2 for x in found], np.int64)
         if len(self.keys) + len(keys) > self.MOST:
             self._forget()
@@ -261,8 +271,8 @@ class Encoder:
         """
         n = len(data)
         white = ~SPACED[data]
-        first, last = np.zeros(n + 1, bool), np.zeros(n + 1, bool)
-        first[offsets] = last[offsets] = True
+        first = np.zeros(n + 1, bool)
+        first[offsets] = True
         before = np.ones(n, bool)  # white space stands before, or the text begins
         before[1:] = white[:-1]
         before[offsets[:-1][offsets[:-1] < n]] = True
@@ -280,8 +290,6 @@ class Encoder:
         owner = np.searchsorted(offsets, at, "right") - 1
         keep = ~odd[owner]
         at, end, owner = at[keep], end[keep], owner[keep]
-        w = Words(data, np.array([0, n]), np.ones(256, bool), lower=False, hashed=False)
-        w.start, w.end = at, end
         return at, end, owner, hashes(data, at, end)
 
 
