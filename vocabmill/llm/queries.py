@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontaminate, toxicity, warc, wavelet
+from . import decontaminate, licenses, toxicity, warc, wavelet
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
     "op2_warc": warc.op2_warc,
     "op3_wavelet": wavelet.op3_wavelet,
+    "op5_licenses": licenses.op5_licenses,
     "op8_toxicity": toxicity.op8_toxicity,
 }
-ORACLE_SQL = {**decontaminate.ORACLE, **warc.ORACLE}
+ORACLE_SQL = {**decontaminate.ORACLE, **licenses.ORACLE, **warc.ORACLE}

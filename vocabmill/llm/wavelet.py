@@ -60,7 +60,7 @@ def dump(out, ids: np.ndarray, doc_ids: list, counts: np.ndarray, end_id: int) -
 
     for zeros, bits in build(ids):
         packed = np.packbits(bits)
-        ones = np.concatenate([[0], np.cumsum(np.add.reduceat(bits, np.arange(0, len(bits), BLOCK), dtype=np.int64))]).tolist() if len(bits) else [0]
+        ones = np.cumsum([0, *(np.count_nonzero(bits[i : i + BLOCK]) for i in range(0, len(bits), BLOCK))]).tolist()
         places = [put(packed[i : i + BLOCK // 8].tobytes()) for i in range(0, len(packed), BLOCK // 8)]
         head["planes"].append({"zeros": zeros, "at": [*places, at], "ones": ones})
     known = np.array([x is not None for x in doc_ids], bool)
