@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, licenses, lines, toxicity, warc, wavelet
+from . import decontaminate, licenses, lines, toxicity, vectors, warc, wavelet
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_wavelet": wavelet.op3_wavelet,
     "op5_licenses": licenses.op5_licenses,
     "op8_toxicity": toxicity.op8_toxicity,
+    "op9_vectors": vectors.op9_vectors,
     "op10_lines": lines.op10_lines,
 }
-ORACLE_SQL = {**decontaminate.ORACLE, **licenses.ORACLE, **lines.ORACLE, **warc.ORACLE}
+ORACLE_SQL = {**decontaminate.ORACLE, **licenses.ORACLE, **lines.ORACLE, **vectors.ORACLE, **warc.ORACLE}
