@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, jaccard, licenses, lines, toxicity, vectors, warc, wavelet
+from . import decontaminate, jaccard, licenses, lines, passages, pieces, toxicity, vectors, warc, wavelet
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -10,6 +10,8 @@ QUERIES = {
     "op3_wavelet": wavelet.op3_wavelet,
     "op4_jaccard": jaccard.op4_jaccard,
     "op5_licenses": licenses.op5_licenses,
+    "op6_pieces": pieces.op6_pieces,
+    "op7_passages": passages.op7_passages,
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_vectors": vectors.op9_vectors,
     "op10_lines": lines.op10_lines,
