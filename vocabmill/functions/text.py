@@ -51,7 +51,7 @@ def acronym_of(short: Column, long: Column) -> Column:
     """Whether the letters of ``short`` appear, in order, among the initials of ``long``."""
     initials = F.array_join(F.transform(F.regexp_extract_all(F.lower(long), F.lit("[a-z0-9]+"), 0), lambda w: F.substring(w, 1, 1)), "")
     pattern = F.concat(F.lit("^.*"), F.regexp_replace(F.lower(short), "([a-z0-9])", "$1.*"), F.lit("$"))
-    return F.expr("true") & initials.rlike(pattern)
+    return F.rlike(initials, pattern)
 
 
 def cited_items(x: Column) -> Column:

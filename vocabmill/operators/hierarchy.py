@@ -11,14 +11,26 @@ from pyspark.sql import functions as F
 
 from .storage import stored
 
+#: Single steps of a closure before paths double.
+STEPS = 6
+
 
 def closure(isa: DataFrame, max_depth: int | None = None) -> DataFrame:
-    """(ancestor, descendant) proper pairs of (child, parent) edges; on a cycle a node is its own ancestor."""
+    """(ancestor, descendant) proper pairs of (child, parent) edges; on a cycle a node is its own ancestor.
+
+    After a few single steps, paths double each round, so a deep chain or a long cycle needs few rounds too.
+    """
     step = stored(isa.select("child", "parent").distinct(), "isa")
     known = front = step.select(F.col("parent").alias("ancestor"), F.col("child").alias("descendant"))
     depth = 1
     while max_depth is None or depth < max_depth:
-        up = front.join(step, front.ancestor == step.child).select(F.col("parent").alias("ancestor"), "descendant").distinct()
+        if max_depth is None and depth > STEPS:
+            near, far = front.toDF("middle", "low"), known.toDF("high", "middle")
+            up = near.join(far, "middle").select(F.col("high").alias("ancestor"), F.col("low").alias("descendant"))
+            near, far = known.toDF("middle", "low"), front.toDF("high", "middle")
+            up = up.union(near.join(far, "middle").select("high", "low")).distinct()
+        else:
+            up = front.join(step, front.ancestor == step.child).select(F.col("parent").alias("ancestor"), "descendant").distinct()
         front = stored(up.join(known, ["ancestor", "descendant"], "left_anti"), "closure")
         if front.isEmpty():
             break
