@@ -37,6 +37,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def aside(df: DataFrame, *names: str) -> tuple[DataFrame, list]:
+    """``df`` with columns of those names moved out of the way, and the columns that put all back as they were."""
+    moved = {c: f"_own_{c}" for c in df.columns if c.lower() in names}
+    return df.withColumnsRenamed(moved), [F.col(moved.get(c, c)).alias(c) for c in df.columns]
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Texts reach Python workers in batches of so many rows, so that a worker's memory stays bounded."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
@@ -143,6 +149,14 @@ class Words:
         return self.data[self.start[i] : self.end[i]].tobytes()
 
 
+def hashes(data: np.ndarray, at: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte strings ``data[at:end]``."""
+    r, inv = _powers(len(data) + 1)
+    run = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * r[: len(data)], out=run[1:])
+    return mix((run[end] - run[at]) * inv[at] + (end - at).astype(np.uint64))
+
+
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and n + 1 offsets of a string array; null: empty."""
     if isinstance(texts, pa.ChunkedArray):

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ALNUM, Words, buffers, runs, small_batches, table
+from .common import ALNUM, Words, aside, buffers, runs, small_batches, table
 
 WINDOW = 10
 #: Words of items in one automaton (about 400 bytes each).
@@ -210,7 +210,11 @@ def matched(docs: DataFrame, items: list[tuple[str | None, str | None]], window:
 
 
 def scan(docs: DataFrame, items: DataFrame, window: int = WINDOW, most: int = MOST_WORDS) -> DataFrame:
-    """``docs`` with n_words, n_hit, items (ids, sorted) and spans (bytes of the UTF-8 text, end exclusive)."""
+    """``docs`` with n_words, n_hit, items (ids, sorted) and spans (bytes of the UTF-8 text, end exclusive).
+
+    Columns of those names that ``docs`` has already are replaced.
+    """
+    docs = docs.drop("n_words", "n_hit", "items", "spans")
     parts = groups(items, most)
     if len(parts) == 1:
         return matched(docs, parts[0], window)
@@ -235,6 +239,7 @@ def scan(docs: DataFrame, items: DataFrame, window: int = WINDOW, most: int = MO
 def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_coverage: float = 0.5) -> DataFrame:
     """``docs`` without the hit spans; a document with more than ``max_coverage`` of its words hit is dropped."""
     columns = docs.columns
+    docs, back = aside(docs, "n_words", "n_hit", "items", "spans")
     found = scan(docs, items, window).where(F.col("n_hit") <= max_coverage * F.col("n_words"))
     raw = "encode(text, 'UTF-8')"
     # what stands between the spans, from byte 1 of the text to its end
@@ -244,7 +249,7 @@ def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_coverage:
     found = found.withColumn("text", F.when(F.size("spans") > 0, F.expr(kept)).otherwise(F.col("text")))
     if "n_chars" in columns:
         found = found.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return found.select(*columns)
+    return found.select(*back)
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,7 +35,7 @@ TEMPLATES = [
     ("bsd-grant", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
     ("proprietary", "all rights reserved no part of this publication may be reproduced without permission"),
 ]
-THRESHOLD = 0.8
+THRESHOLD = 0.85
 _WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 
 

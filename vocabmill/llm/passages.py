@@ -79,7 +79,8 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def dedup(docs: DataFrame, min_words: int = MIN_WORDS, name: str = "passages") -> DataFrame:
-    """``docs`` with ``text`` lacking the units that go and ``removed``, their spans in the original text."""
+    """``docs`` with ``text`` lacking the units that go and ``removed``, their spans in the original text (a column of that name is replaced)."""
+    docs = docs.drop("removed", "_id")
     span = F.array_sort(F.collect_list(F.struct("start", "end")))
     gone = stored(repeats(docs, min_words).groupBy(F.col("doc_id").alias("_id")).agg(span.alias("removed")), name)
     both = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id")

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ALNUM, Words, runs, small_batches, table
+from .common import ALNUM, Words, aside, runs, small_batches, table
 
 DIMENSIONS = 1 << 20
 FACTORS = 6
@@ -137,8 +137,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
 
 
 def score(docs: DataFrame, machine: Machine) -> DataFrame:
-    """All columns of ``docs`` and a score for every row."""
-    spark = docs.sparkSession
+    """All columns of ``docs`` and a score for every row (a column of that name is replaced)."""
+    spark, docs = docs.sparkSession, docs.drop("score")
     small_batches(spark)
     shared = spark.sparkContext.broadcast((machine.ids, machine.bias, machine.w, machine.v))
     schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())])
@@ -154,7 +154,8 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
 
 def keep_clean(docs: DataFrame, machine: Machine, threshold: float = THRESHOLD) -> DataFrame:
     """The rows that are not predicted toxic, as they were."""
-    return score(docs, machine).where(F.col("score") < threshold).select(*docs.columns)
+    docs, back = aside(docs, "score")
+    return score(docs, machine).where(F.col("score") < threshold).select(*back)
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -118,7 +118,7 @@ class WarcReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.paths = [p for p in options.get("paths", options.get("path", "")).split("\n") if p]
         self.payload = options.get("payload", "true").lower() != "false"
-        self.split = int(options.get("splitBytes", 32 << 20))
+        self.split = int(options.get("splitbytes", 32 << 20))
         self.pushed: list[tuple[str, tuple]] = []
         self.present: list[str] = []
 
@@ -185,7 +185,7 @@ class WarcSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> WarcReader:
-        return WarcReader(dict(self.options))
+        return WarcReader({k.lower(): v for k, v in self.options.items()})
 
 
 def parsed(head: bytes) -> dict:
@@ -253,9 +253,10 @@ def aligned(f, start: int, end: int) -> int | None:
 def plain(f, packed: bool):
     """(header block, function that gives the block) of the records of another writer's archive."""
     import gzip
+    import io
 
     f.seek(0)
-    stream = gzip.GzipFile(fileobj=f) if packed else f
+    stream = gzip.GzipFile(fileobj=f) if packed else io.BufferedReader(f)
     while True:
         head = b""
         while not head.endswith(b"\r\n\r\n"):

@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACED, file_system, local_path, runs, shared_dir, small_batches, table
+from .common import SPACED, file_system, hashes, local_path, runs, shared_dir, small_batches, table
 
 MAGIC = b"WVM1"
 BLOCK = 1 << 16
@@ -293,15 +293,6 @@ class Encoder:
         return at, end, owner, hashes(data, at, end)
 
 
-def hashes(data: np.ndarray, at: np.ndarray, end: np.ndarray) -> np.ndarray:
-    from .common import _BYTE, _powers, mix
-
-    r, inv = _powers(len(data) + 1)
-    run = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * r[: len(data)], out=run[1:])
-    return mix((run[end] - run[at]) * inv[at] + (end - at).astype(np.uint64))
-
-
 def encoder(path: str) -> Encoder:
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
