@@ -3,11 +3,11 @@
 import pytest
 
 from tests.compare import rows, views
-from vocabmill.plans import graph, quality, relational
+from vocabmill.plans import graph, quality, relational, workflow
 
 SF = "/root/testdata/sf0.001"
-QUERIES = {**relational.QUERIES, **graph.QUERIES, **quality.QUERIES}
-ORACLES = {**relational.ORACLES, **graph.ORACLES, **quality.ORACLES}
+QUERIES = {**relational.QUERIES, **graph.QUERIES, **quality.QUERIES, **workflow.QUERIES}
+ORACLES = {**relational.ORACLES, **graph.ORACLES, **quality.ORACLES, **workflow.ORACLES}
 
 
 @pytest.fixture(scope="module")
