@@ -24,21 +24,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from .common import aside, stored, table
 
 MIN_WORDS, NEAR_WORDS = 3, 8
-BLOCKS = 3
+BLOCKS = 2
 #: So many lines at most (40 bytes each or so) are broadcast to find their words; beyond it a shuffle does.
 BROADCAST_LINES = 1_000_000
 
 
+def words(t: Column) -> Column:
+    """Lower-cased words between ASCII white space; where single blanks are all there is, without a pattern."""
+    odd = t.startswith(" ") | t.endswith(" ")
+    for x in ("  ", "\t", "\x0b", "\f", "\r"):
+        odd = odd | t.contains(x)
+    low = F.lower(t)
+    return F.when(odd, F.filter(F.split(F.regexp_replace(low, "[\\x09-\\x0D\\x20]+", " "), " "), lambda w: w != "")).otherwise(F.split(low, " "))
+
+
 def lines(docs: DataFrame) -> DataFrame:
     """doc_id, line (number), w (words), n for the lines with enough words."""
-    each = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "t"))
-    each = each.select("doc_id", "line", F.regexp_extract_all(F.lower("t"), F.lit("[^\\x09-\\x0D\\x20]+"), 0).alias("w"))
+    each = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "t")).select("doc_id", "line", words(F.col("t")).alias("w"))
     return each.withColumn("n", F.size("w")).where(F.col("n") >= MIN_WORDS)
 
 
+def hashed(docs: DataFrame, name: str) -> DataFrame:
+    """doc_id, line, h1, h2 and the block keys (null for short lines): texts are taken apart once, all else reads this table."""
+    keys = F.when(F.col("n") >= NEAR_WORDS, block_keys()).alias("keys")
+    return stored(lines(docs).select("doc_id", "line", *identity(), keys), name)
+
+
 def identity() -> list[Column]:
     """128 bits for a line's words."""
     return [F.xxhash64("w").alias("h1"), F.xxhash64(F.lit(1), "w").alias("h2")]
@@ -72,17 +86,21 @@ def variants() -> Column:
         ))[0])[0])[0])[0]""")
 
 
-def near_lines(docs: DataFrame, name: str = "lines") -> DataFrame:
-    """h1, h2 of the distinct lines that have an earlier near line."""
-    long = lines(docs).where(F.col("n") >= NEAR_WORDS)
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), docs.rdd.getNumPartitions())
-    keys = long.select(F.xxhash64("w").alias("h1"), F.explode(block_keys()).alias("key")).repartition(parts, "key")
+def near_lines(docs: DataFrame, every: DataFrame, name: str = "lines") -> DataFrame:
+    """h1, h2 of the distinct lines that have an earlier near line; ``every``: the table of ``hashed``."""
+    keys = every.where("keys is not null").select("h1", F.explode("keys").alias("key"))
     shared = keys.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo <> hi").select("key")
-    able = stored(keys.join(shared, "key", "left_semi").select("h1").distinct(), name)
-    if able.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES:
-        able = F.broadcast(able)
-    own = long.withColumns({"h1": F.xxhash64("w"), "h2": F.xxhash64(F.lit(1), "w")}).join(able, "h1", "left_semi")
-    own = stored(own.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.any_value("w").alias("w"), F.any_value("n").alias("n")), name)
+    able = keys.join(shared, "key", "left_semi").select("h1").distinct()
+    firsts = every.where("keys is not null").join(able, "h1", "left_semi").groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line")).alias("first"))
+    firsts = stored(firsts, name)
+    few = firsts.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES
+    hint = F.broadcast if few else lambda x: x
+    # the words of just those lines
+    at = firsts.select(F.col("first.doc_id").alias("_d"), F.col("first.line").alias("_l"), "h1", "h2", "first")
+    held = docs.join(hint(at.select("_d").distinct()), F.col("doc_id").eqNullSafe(F.col("_d")), "left_semi")
+    each = held.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "t")).join(hint(at), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("line") == F.col("_l")))
+    each = each.select("h1", "h2", "first", words(F.col("t")).alias("w")).where(F.xxhash64("w") == F.col("h1"))
+    own = stored(each.groupBy("h1", "h2").agg(F.any_value("first").alias("first"), F.any_value("w").alias("w")).withColumn("n", F.size("w")), name)
 
     v = own.select("first", "h1", "h2", F.explode(variants()).alias("v")).select("first", "h1", "h2", "v.key", "v.place")
     me = F.struct("first", "h1", "h2")
@@ -101,9 +119,9 @@ def near_lines(docs: DataFrame, name: str = "lines") -> DataFrame:
     cut = cut.select(F.least("cut", "whole").alias("a"), F.greatest("cut", "whole").alias("z"), "place")
     pairs = pairs.union(cut).where("a.first < z.first").distinct()
 
-    words = own.select("h1", "h2", "w", "n")
+    held = own.select("h1", "h2", "w", "n")
     for side in ("a", "z"):
-        w = words.select(*(F.col(c).alias(f"{side}_{c}") for c in words.columns))
+        w = held.select(*(F.col(c).alias(f"{side}_{c}") for c in held.columns))
         pairs = pairs.join(w, (F.col(f"{side}.h1") == F.col(f"{side}_h1")) & (F.col(f"{side}.h2") == F.col(f"{side}_h2")))
     without = lambda x: f"concat(slice({x}, 1, place), slice({x}, place + 2, size({x})))"
     edit = F.expr(f"""CASE WHEN a_n = z_n THEN size(filter(zip_with(a_w, z_w, (x, y) -> x <> y), d -> d)) <= 1
@@ -113,8 +131,9 @@ def near_lines(docs: DataFrame, name: str = "lines") -> DataFrame:
 
 def duplicates(docs: DataFrame, name: str = "lines") -> DataFrame:
     """doc_id, line of every occurrence that goes."""
-    near = near_lines(docs, name).withColumn("near", F.lit(True))
-    own = lines(docs).select("doc_id", "line", *identity())
+    every = hashed(docs, name)
+    near = near_lines(docs, every, name).withColumn("near", F.lit(True))
+    own = every.select("doc_id", "line", "h1", "h2")
     group = own.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count(F.lit(1)).alias("k"))
     known = group.join(near, ["h1", "h2"], "left").where("k > 1 or near").select("h1", "h2", "first", "near")
     return own.join(known, ["h1", "h2"]).where("near or struct(doc_id, line) > first").select("doc_id", "line").distinct()
@@ -128,6 +147,7 @@ def gone(docs: DataFrame, name: str = "lines") -> DataFrame:
 def dedup(docs: DataFrame, name: str = "lines") -> DataFrame:
     """``docs`` without those lines; a document that had words and has none left is dropped."""
     columns = docs.columns
+    docs, back = aside(docs, "gone", "_id", "_cut")
     g = stored(gone(docs, name), name).withColumnRenamed("doc_id", "_id")
     both = docs.join(g, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
     kept = F.array_join(F.expr("filter(split(text, '\\n'), (x, i) -> not array_contains(gone, i))"), "\n")
@@ -135,7 +155,7 @@ def dedup(docs: DataFrame, name: str = "lines") -> DataFrame:
     both = both.where(~F.col("_cut") | F.col("text").rlike("[^\\x09-\\x0D\\x20]"))
     if "n_chars" in columns:
         both = both.withColumn("n_chars", F.when(F.col("_cut"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return both.select(*columns)
+    return both.select(*back)
 
 
 def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
