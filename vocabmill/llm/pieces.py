@@ -30,9 +30,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches, stored, table
+from .common import hashes, runs, small_batches, stored, table
 
-CHUNK = 1 << 14
+CHUNK = 1 << 16
 BYTE_SCORE = -100_000
 NONE = -(1 << 60)
 BLANK = "▁"
@@ -40,7 +40,7 @@ _MODELS: dict[str, Pieces] = {}
 
 
 class Pieces:
-    MOST = 300_000
+    MOST, KEPT = 100_000, 1_000_000
 
     def __init__(self, path: str):
         import sentencepiece
@@ -55,31 +55,42 @@ class Pieces:
         # where a text falls apart: pieces with a blank hold nothing before it but blanks, and none holds a line's end
         if any(BLANK in p.lstrip(BLANK) or "\n" in p and p != "\n" for p in self.score):
             raise ValueError("pieces of this model run over the ends of words")
+        # each beginning of a piece, with the piece's score or NONE where it is none itself
+        self.begun = {p[:k]: NONE for p in self.score for k in range(1, len(p))} | self.score
+        # the bytes that each id stands for, one after another
+        spelled = [p.replace(BLANK, " ").encode() for p in self.names]
+        for b, i in self.bytes.items():
+            spelled[i] = bytes([b])
+        self.size = np.array([len(x) for x in spelled], np.int64)
+        self.place = np.cumsum(self.size) - self.size
+        self.flat = np.frombuffer(b"".join(spelled), np.uint8)
+        self._forget()
         self.units = re.compile(f"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n").findall
         self.known: dict[str, tuple[int, bytes]] = {}
 
-    def edges(self, text: str, j: int, low: int) -> Iterator[tuple[int, int]]:
-        """(start, score) of the pieces of ``text`` that end at ``j``, the longest first."""
-        score, found = self.score, False
-        for i in range(max(low, j - self.width), j):
-            s = score.get(text[i:j])
-            if s is not None:
-                found = found or i == j - 1
-                yield i, s
-        if not found and j - 1 >= low and text[j - 1] not in score:
-            yield j - 1, BYTE_SCORE * len(text[j - 1].encode("utf-8", "surrogatepass"))
-
     def forward(self, text: str, start: int = 0, end: int | None = None, cut: int | None = None) -> tuple[list[int], list[int]]:
-        """(best score, start of the last piece) for each place from ``start`` to ``end``; beyond ``cut`` only pieces that cover it."""
+        """(best score, start of the last piece) for each place from ``start`` to ``end``; beyond ``cut`` only pieces that cover it.
+
+        From each place the text is followed as long as it can still become a piece.
+        """
         end = len(text) if end is None else end
         best, back = [NONE] * (end + 1), [-1] * (end + 1)
         best[start] = 0
-        for j in range(start + 1, end + 1):
-            top, at = NONE, -1
-            for i, s in self.edges(text, j, start):
-                if (cut is None or j <= cut or i < cut) and best[i] > NONE and best[i] + s > top:
-                    top, at = best[i] + s, i
-            best[j], back[j] = top, at
+        begun, last = self.begun, end if cut is None else cut
+        for i in range(start, min(last, end) if cut is not None else end):
+            here = best[i]
+            if here == NONE:
+                continue
+            for j in range(i + 1, end + 1):
+                s = begun.get(text[i:j])
+                if s is None:
+                    break
+                if s != NONE and here + s > best[j]:
+                    best[j], back[j] = here + s, i
+            if text[i] not in self.score:
+                s = here + BYTE_SCORE * len(text[i].encode("utf-8", "surrogatepass"))
+                if s > best[i + 1]:
+                    best[i + 1], back[i + 1] = s, i
         return best, back
 
     def spell(self, text: str) -> list[int]:
@@ -104,6 +115,63 @@ class Pieces:
                 self.known[text] = got
         return got
 
+    def _forget(self) -> None:
+        self.keys, self.at, self.len, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def encode_run(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(ids of all texts, number of ids of each, the marked texts' bytes with blanks as blanks, their offsets).
+
+        The words of a run are told apart by array operations and each distinct one is solved once; a worker keeps what it has learned
+        within ``KEPT`` words.
+        """
+        n = len(offsets) - 1
+        full = np.diff(offsets) > 0
+        marked_ = np.insert(data, offsets[:-1][full], 32)
+        cuts = offsets + np.concatenate([[0], np.cumsum(full)])
+        raw = marked_.tobytes()
+        if BLANK.encode() in raw:  # a visible mark in a text reads as a blank
+            texts = [raw[a:b].replace(BLANK.encode(), b" ") for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            cuts = np.concatenate([[0], np.cumsum([len(x) for x in texts])])
+            raw = b"".join(texts)
+            marked_ = np.frombuffer(raw, np.uint8)
+        size = len(marked_)
+        if not size:
+            return np.zeros(0, np.int32), np.zeros(n, np.int64), marked_, cuts
+        start = np.zeros(size, bool)
+        start[cuts[:-1][np.diff(cuts) > 0]] = True
+        blank, line = marked_ == 32, marked_ == 10
+        start |= line
+        start[1:] |= line[:-1] | blank[1:] & ~blank[:-1]
+        at = np.flatnonzero(start)
+        end = np.append(at[1:], size)
+        owner = np.searchsorted(cuts, at, "right") - 1
+        keys, first, inverse = np.unique(hashes(marked_, at, end), return_index=True, return_inverse=True)
+        if len(self.keys) + len(keys) > self.KEPT:
+            self._forget()
+        put = np.searchsorted(self.keys, keys)
+        new = np.ones(len(keys), bool)
+        old = put < len(self.keys)
+        new[old] = self.keys[put[old]] != keys[old]
+        if new.any():
+            f = first[new]
+            found = []
+            for a, b in zip(at[f].tolist(), end[f].tolist(), strict=True):
+                text = raw[a:b].decode().replace(" ", BLANK)
+                found.append(array("i", self.trace(text, self.forward(text)[1], 0, len(text))).tobytes())
+            length = np.array([len(x) // 4 for x in found], np.int64)
+            put, begin = np.searchsorted(self.keys, keys[new]), len(self.ids) + np.cumsum(length) - length
+            self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(found), np.int32)])
+            self.keys, self.at, self.len = np.insert(self.keys, put, keys[new]), np.insert(self.at, put, begin), np.insert(self.len, put, length)
+        k = np.searchsorted(self.keys, keys)[inverse]
+        length, place = self.len[k], self.at[k]
+        ids = self.ids[np.arange(int(length.sum())) + np.repeat(place - np.cumsum(length) + length, length)]
+        return ids, np.bincount(owner, weights=length, minlength=n).astype(np.int64), marked_, cuts
+
+    def decode_run(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes that ids stand for, one after another (a text's leading blank included)."""
+        size = self.size[ids]
+        return self.flat[np.arange(int(size.sum())) + np.repeat(self.place[ids] - np.cumsum(size) + size, size)]
+
     def encode(self, text: str) -> tuple[int, bytes]:
         """(score, ids as 32-bit integers) of a whole text."""
         if not text:
@@ -201,23 +269,36 @@ def states(matrices: list[np.ndarray]) -> list[tuple[int, int]]:
     return out
 
 
+def lists(raw: list[bytes]) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in raw])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(raw), np.int32)))
+
+
+def is_giant(chunk: int):
+    return F.coalesce(F.length("text"), F.lit(0)) > chunk
+
+
 def encode(docs: DataFrame, model: str, chunk: int = CHUNK, name: str = "pieces") -> DataFrame:
-    """``docs`` with ``ids`` (array<int>) of the whole text."""
-    spark = docs.sparkSession
-    small_batches(spark, 500)
-    docs = docs.withColumn("text", F.col("text").cast("string"))
+    """``docs`` with ``ids`` (array<int>) of the whole text; a column of that name is replaced."""
+    small_batches(docs.sparkSession, 500)
+    docs = docs.drop("ids", "_row").withColumn("text", F.col("text").cast("string"))
     schema = T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    lists = lambda raw: pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(x) // 4 for x in raw])]).astype(np.int32)), pa.array(np.frombuffer(b"".join(raw), np.int32)))
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(model)
         for batch in batches:
-            raw = [p.encode(t)[1] if t else b"" for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists(raw)], names=[*batch.schema.names, "ids"])
+            for part, data, offsets in runs(batch, "text"):
+                ids, n, _, _ = p.encode_run(data, offsets)
+                column = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(ids))
+                yield pa.RecordBatch.from_arrays([*part.columns, column], names=[*part.schema.names, "ids"])
+
+    return docs.where(~is_giant(chunk)).mapInArrow(short, schema).union(giants(docs.where(is_giant(chunk)), model, chunk, name).select(*docs.columns, "ids"))
+
 
-    is_long = F.coalesce(F.length("text"), F.lit(0)) > chunk
-    plain = docs.where(~is_long).mapInArrow(short, schema)
-    giants = stored(docs.where(is_long).withColumn("_row", F.monotonically_increasing_id()), name)
+def giants(docs: DataFrame, model: str, chunk: int, name: str) -> DataFrame:
+    """The same for giant texts: chunks solved, joined and traced in parallel."""
+    spark = docs.sparkSession
+    giants = stored(docs.withColumn("_row", F.monotonically_increasing_id()), name)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reach = pieces(model).width - 1
@@ -251,11 +332,12 @@ def encode(docs: DataFrame, model: str, chunk: int = CHUNK, name: str = "pieces"
     fixed = chunks.mapInArrow(solve, "_row bigint, k bigint, m binary").groupBy("_row").applyInArrow(combine, "_row bigint, k bigint, a bigint, z bigint")
     traced = chunks.join(fixed, ["_row", "k"]).select("_row", "k", "size", "part", "a", "z").mapInArrow(trace, "_row bigint, k bigint, ids array<int>")
     whole = traced.groupBy("_row").agg(F.expr("flatten(transform(array_sort(collect_list(struct(k, ids))), x -> x.ids))").alias("ids"))
-    return plain.union(giants.join(whole, "_row").drop("_row").select(*docs.columns, "ids"))
+    return giants.join(whole, "_row").drop("_row")
 
 
 def decode(coded: DataFrame, model: str) -> DataFrame:
     """``coded`` with ``decoded``, the text of ``ids``."""
+    coded = coded.drop("decoded")
     schema = T.StructType([*coded.schema.fields, T.StructField("decoded", T.StringType())])
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,23 +348,46 @@ def decode(coded: DataFrame, model: str) -> DataFrame:
     return coded.mapInArrow(spell, schema)
 
 
+DESCRIBED = "doc_id bigint, n_ids bigint, ids_crc32 bigint, same_text boolean"
+
+
 def described(coded: DataFrame, model: str) -> DataFrame:
     """doc_id, n_ids, ids_crc32 (of the ids as little-endian 32-bit integers), same_text: whether decoding gives the text back."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(model)
         for b in batches:
-            ids, texts = b.column("ids").to_pylist(), b.column("text").to_pylist()
-            yield pa.record_batch({
-                "doc_id": b.column("doc_id"), "n_ids": pa.array(map(len, ids), pa.int64()), "ids_crc32": pa.array([zlib.crc32(array("i", x).tobytes()) for x in ids], pa.int64()),
-                "same_text": pa.array([p.decode(x) == (t or "").replace(BLANK, " ") for x, t in zip(ids, texts, strict=True)]),
-            })
+            ids = b.column("ids").to_pylist()
+            same = [p.decode(x) == (t or "").replace(BLANK, " ") for x, t in zip(ids, b.column("text").to_pylist(), strict=True)]
+            yield pa.record_batch({"doc_id": b.column("doc_id"), "n_ids": pa.array(map(len, ids), pa.int64()), "ids_crc32": pa.array([zlib.crc32(array("i", x).tobytes()) for x in ids], pa.int64()), "same_text": pa.array(same)})
+
+    return coded.select("doc_id", "text", "ids").mapInArrow(describe, DESCRIBED)
+
+
+def round_trip(docs: DataFrame, model: str, chunk: int = CHUNK, name: str = "pieces") -> DataFrame:
+    """``described`` of all documents, with texts that are not giant encoded and decoded in one pass."""
+    small_batches(docs.sparkSession, 500)
+    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+
+    def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        p = pieces(model)
+        for batch in batches:
+            for part, data, offsets in runs(batch, "text"):
+                ids, n, text, cuts = p.encode_run(data, offsets)
+                ends = np.cumsum(n)
+                back, size = p.decode_run(ids), np.concatenate([[0], np.cumsum(p.size[ids])])
+                at = size[np.concatenate([[0], ends])]
+                whole = len(back) == len(text) and bool((back == text).all())
+                same = [(whole and at[i] == cuts[i] and at[i + 1] == cuts[i + 1]) or bool(np.array_equal(back[at[i] : at[i + 1]], text[cuts[i] : cuts[i + 1]])) for i in range(len(n))]
+                raw = memoryview(ids.astype("<i4").tobytes())
+                crc = [zlib.crc32(raw[4 * (e - k) : 4 * e]) for k, e in zip(n.tolist(), ends.tolist(), strict=True)]
+                yield pa.record_batch({"doc_id": part.column("doc_id"), "n_ids": pa.array(n, pa.int64()), "ids_crc32": pa.array(crc, pa.int64()), "same_text": pa.array(same, pa.bool_())})
 
-    return coded.select("doc_id", "text", "ids").mapInArrow(describe, "doc_id bigint, n_ids bigint, ids_crc32 bigint, same_text boolean")
+    return docs.where(~is_giant(chunk)).mapInArrow(short, DESCRIBED).union(described(giants(docs.where(is_giant(chunk)), model, chunk, name), model))
 
 
 def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     model = public_tokenizers.path("piece_bpe_32k.model")
-    return described(encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model), model)
+    return round_trip(table(spark, sf_dir, "documents"), model)
