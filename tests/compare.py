@@ -17,7 +17,7 @@ def views(sf_dir):
 
 
 def plain(v):
-    if v is None or v is pd.NaT or v != v:
+    if v is None or v is pd.NaT or v is pd.NA or v != v:
         return "NULL"
     if isinstance(v, float):
         return f"{v:.9g}"
