@@ -216,6 +216,7 @@ def test_jaccard_random(spark, alphabet, monkeypatch):
     """Few words make crowded regions without much in common, so cells join several times over."""
     monkeypatch.setattr(jaccard, "PIVOTS", 2)
     monkeypatch.setattr(jaccard, "PER_SALT", 2)
+    monkeypatch.setattr(jaccard, "LEAF", 4)
     rng = random.Random(alphabet)
     base = [" ".join(str(rng.randrange(alphabet)) for _ in range(rng.randrange(1, 30))) for _ in range(25)]
     texts = list(base)
