@@ -39,7 +39,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every whole text."""
     import public_tokenizers
 
-    return pieces.encode(docs.select(*COLUMNS), public_tokenizers.path("piece_bpe_32k.model"), name="pipeline-pieces").drop("text")
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.encode(docs.select(*COLUMNS), model, name="pipeline-pieces", merges=pieces.by_merges(model)).drop("text")
 
 
 STAGES = [
@@ -50,7 +51,7 @@ STAGES = [
     ("SentencePiece encoding and decoding", encode),
 ]
 
-#: SQL expresses neither the fitted model nor the best paths; tests hold the stages against brute force.
+#: SQL expresses neither the fitted model nor the merges; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

@@ -314,6 +314,25 @@ def test_pieces(spark, chunk):
     assert pieces.encode(docs(spark, []), path, chunk).count() == 0
 
 
+@pytest.mark.parametrize("chunk", [1 << 14, 40])
+def test_pieces_are_the_library_s(spark, chunk):
+    import public_tokenizers
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    sp = sentencepiece.SentencePieceProcessor(model_file=path)
+    rng = random.Random(12)
+    parts = ["the", "ing", " ", "  ", "\n", "é", "日本", "😀", "internationalization", "x", "     ", "\t", "Qz", "☃", pieces.BLANK]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(0, 60))) for _ in range(40)] + ["released under the mit license", None, "", " ", "a" * 300, "nospace" * 60, " " * 90]
+    texts += [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect()]
+    got = by_id(pieces.encode(docs(spark, texts, True), path, chunk, merges=pieces.by_merges(path)), "ids")
+    for i, t in enumerate(texts):
+        assert list(got[i][0]) == sp.encode(t or ""), t
+    query = {r.doc_id: r for r in pieces.op6_pieces(spark, SF).collect()}
+    for r in spark.read.parquet(f"{SF}/documents.parquet").collect():
+        assert query[r.doc_id].ids_crc32 == zlib.crc32(np.array(sp.encode(r.text or ""), "<i4").tobytes()) and query[r.doc_id].same_text
+
+
 def test_max_plus_is_associative():
     rng = np.random.default_rng(4)
     a, b, c = (rng.integers(-50, 0, (5, 5)).astype(np.int64) for _ in range(3))

@@ -1,8 +1,14 @@
-"""SentencePiece encoding and decoding by a max-plus parallel scan.
+"""SentencePiece encoding and decoding: by a model's merges, or by a max-plus parallel scan.
 
-Encoding is the path of highest total score through the lattice of the model's pieces (scores as the model file has them; a
-character that is no piece becomes its UTF-8 byte pieces at ``BYTE_SCORE`` each). Sums are whole numbers, so the max-plus
-product of matrices is exactly associative.
+Merges (``merges=True``) are the way of a model file of kind BPE, such as the public one: of all neighbours whose join is a piece, those of the
+highest score join first, the leftmost of equals; what is no piece in the end becomes its UTF-8 byte pieces. Ids are those of the library.
+No piece crosses the end of a word, so each distinct word is solved once and a giant text is cut between words, its parts solved
+in parallel (a giant word stays whole). ``by_merges`` tells which way a file takes; the query and the pipeline follow it.
+
+The scan (``merges=False``) is the way of unigram files: the path of highest total score through the lattice of the model's pieces. Whole
+scores are taken as they are, others as multiples of 1 / ``FINE``; a character that is no piece becomes its byte pieces, at ``BYTE_SCORE``
+each, or with the library's penalty a character where scores are not whole. Sums are whole numbers, so the max-plus product of
+matrices is exactly associative. On a file of kind BPE the scan's ids are not the library's.
 
 A giant text is cut into chunks. At a cut the state is how far the piece that covers it reaches beyond it; a chunk
 yields the matrix of best scores from entry to exit state, chunks in parallel. A text's matrices are combined from the right
@@ -11,8 +17,7 @@ into best rests, which fix the state at every cut; then each chunk is traced bac
 Pieces never run from a word into a following blank, so within a chunk (and in all shorter texts) words are independent and
 each distinct one is solved once; the state at a word's start is the single state 0.
 
-The public model file of kind BPE merges pairs in rank order, which is no shortest-path problem: ids here are those of the
-best-scoring path over the same pieces and scores, not those of the merges. Decoding (``decode``) is the same for both.
+Decoding (``decode``) is the same for both.
 
 Defined results: null or empty texts have no ids and decode to the empty text; repeated rows get equal results; other columns are kept.
 """
@@ -23,6 +28,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -34,22 +40,27 @@ from .common import hashes, runs, small_batches, stored, table
 
 CHUNK = 1 << 16
 BYTE_SCORE = -100_000
+FINE = 1 << 20
 NONE = -(1 << 60)
 BLANK = "▁"
-_MODELS: dict[str, Pieces] = {}
+_MODELS: dict[tuple[str, bool], Pieces] = {}
 
 
 class Pieces:
     MOST, KEPT = 100_000, 1_000_000
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, merges: bool = False):
         import sentencepiece
 
+        self.merges = merges
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
         self.names = [sp.id_to_piece(i) for i in range(sp.get_piece_size())]
         self.bytes = {int(p[3:5], 16): i for i, p in enumerate(self.names) if sp.is_byte(i)}
         usable = [i for i in range(len(self.names)) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))]
-        self.score = {self.names[i]: int(sp.get_score(i)) for i in usable}
+        scores = {self.names[i]: sp.get_score(i) for i in usable}
+        whole = all(s == int(s) for s in scores.values())
+        self.score = {p: int(s) if whole else round(s * FINE) for p, s in scores.items()}
+        self.penalty = None if whole else min(self.score.values()) - 10 * FINE
         self.id = {self.names[i]: i for i in usable}
         self.width = max(map(len, self.score))
         # where a text falls apart: pieces with a blank hold nothing before it but blanks, and none holds a line's end
@@ -88,7 +99,7 @@ class Pieces:
                 if s != NONE and here + s > best[j]:
                     best[j], back[j] = here + s, i
             if text[i] not in self.score:
-                s = here + BYTE_SCORE * len(text[i].encode("utf-8", "surrogatepass"))
+                s = here + (BYTE_SCORE * len(text[i].encode("utf-8", "surrogatepass")) if self.penalty is None else self.penalty)
                 if s > best[i + 1]:
                     best[i + 1], back[i + 1] = s, i
         return best, back
@@ -104,13 +115,48 @@ class Pieces:
         cuts.reverse()
         return [x for a, b in zip(cuts, cuts[1:]) for x in self.spell(text[a:b])]
 
+    def merged(self, text: str) -> list[int]:
+        """The ids of a word by merges: the pair of the highest score joins first, the leftmost of equals."""
+        n = len(text)
+        end, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        score = self.score
+        pairs = [(-score[text[i : i + 2]], i, i + 2) for i in range(n - 1) if text[i : i + 2] in score]
+        heapify(pairs)
+        while pairs:
+            _, i, z = heappop(pairs)
+            m = end[i]
+            if m <= i or m >= n or end[m] != z:  # a part has joined another one since
+                continue
+            end[i], end[m] = z, -1
+            if z < n:
+                before[z] = i
+                s = score.get(text[i : end[z]])
+                if s is not None:
+                    heappush(pairs, (-s, i, end[z]))
+            h = before[i]
+            if h >= 0:
+                s = score.get(text[h:z])
+                if s is not None:
+                    heappush(pairs, (-s, h, z))
+        out, i = [], 0
+        while i < n:
+            out += self.spell(text[i : end[i]])
+            i = end[i]
+        return out
+
+    def solve(self, text: str) -> list[int]:
+        return self.merged(text) if self.merges else self.trace(text, self.forward(text)[1], 0, len(text))
+
     def unit(self, text: str) -> tuple[int, bytes]:
         got = self.known.get(text)
         if got is None:
             if len(self.known) >= self.MOST:
                 self.known.clear()
-            best, back = self.forward(text)
-            got = best[-1], array("i", self.trace(text, back, 0, len(text))).tobytes()
+            if self.merges:  # a sum of scores means nothing here
+                got = 0, array("i", self.merged(text)).tobytes()
+            else:
+                best, back = self.forward(text)
+                got = best[-1], array("i", self.trace(text, back, 0, len(text))).tobytes()
             if len(text) <= 64:
                 self.known[text] = got
         return got
@@ -157,7 +203,7 @@ class Pieces:
             found = []
             for a, b in zip(at[f].tolist(), end[f].tolist(), strict=True):
                 text = raw[a:b].decode().replace(" ", BLANK)
-                found.append(array("i", self.trace(text, self.forward(text)[1], 0, len(text))).tobytes())
+                found.append(array("i", self.solve(text)).tobytes())
             length = np.array([len(x) // 4 for x in found], np.int64)
             put, begin = np.searchsorted(self.keys, keys[new]), len(self.ids) + np.cumsum(length) - length
             self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(found), np.int32)])
@@ -248,10 +294,20 @@ def plus(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum((a[:, :, None] + b[None, :, :]).max(1), NONE)
 
 
-def pieces(path: str) -> Pieces:
-    if path not in _MODELS:
-        _MODELS[path] = Pieces(path)
-    return _MODELS[path]
+def pieces(path: str, merges: bool = False) -> Pieces:
+    if (path, merges) not in _MODELS:
+        _MODELS[path, merges] = Pieces(path, merges)
+    return _MODELS[path, merges]
+
+
+def by_merges(path: str) -> bool:
+    """Whether the model file is of kind BPE."""
+    from sentencepiece import sentencepiece_model_pb2
+
+    model = sentencepiece_model_pb2.ModelProto()
+    with open(path, "rb") as f:
+        model.ParseFromString(f.read())
+    return model.trainer_spec.model_type == sentencepiece_model_pb2.TrainerSpec.BPE
 
 
 def states(matrices: list[np.ndarray]) -> list[tuple[int, int]]:
@@ -278,25 +334,62 @@ def is_giant(chunk: int):
     return F.coalesce(F.length("text"), F.lit(0)) > chunk
 
 
-def encode(docs: DataFrame, model: str, chunk: int = CHUNK, name: str = "pieces") -> DataFrame:
-    """``docs`` with ``ids`` (array<int>) of the whole text; a column of that name is replaced."""
+def encode(docs: DataFrame, model: str, chunk: int = CHUNK, name: str = "pieces", merges: bool = False) -> DataFrame:
+    """``docs`` with ``ids`` (array<int>) of the whole text, by merges or by the scan; a column of that name is replaced."""
     small_batches(docs.sparkSession, 500)
     docs = docs.drop("ids", "_row").withColumn("text", F.col("text").cast("string"))
     schema = T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p = pieces(model)
+        p = pieces(model, merges)
         for batch in batches:
             for part, data, offsets in runs(batch, "text"):
                 ids, n, _, _ = p.encode_run(data, offsets)
                 column = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([*part.columns, column], names=[*part.schema.names, "ids"])
 
-    return docs.where(~is_giant(chunk)).mapInArrow(short, schema).union(giants(docs.where(is_giant(chunk)), model, chunk, name).select(*docs.columns, "ids"))
+    return docs.where(~is_giant(chunk)).mapInArrow(short, schema).union(giants(docs.where(is_giant(chunk)), model, chunk, name, merges).select(*docs.columns, "ids"))
+
+
+def between_words(text: str, chunk: int) -> Iterator[str]:
+    """A marked text in parts of whole words of about ``chunk`` characters (a longer word is a part of its own)."""
+    begin = size = 0
+    for m in re.finditer(f"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n", text):
+        if size and m.end() - begin > chunk:
+            yield text[begin : m.start()]
+            begin = m.start()
+        size = m.end() - begin
+    yield text[begin:]
+
+
+def giants_by_merges(docs: DataFrame, model: str, chunk: int, name: str) -> DataFrame:
+    """Giant texts cut between words, the parts solved in parallel."""
+    spark = docs.sparkSession
+    giants = stored(docs.withColumn("_row", F.monotonically_increasing_id()), name)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, text in zip(batch.column("_row").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                for k, part in enumerate(between_words(marked(text), chunk)):
+                    yield pa.record_batch({"_row": pa.array([row], pa.int64()), "k": pa.array([k], pa.int64()), "part": [part]})
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        p = pieces(model, True)
+        for b in batches:
+            raw = [b"".join([p.unit(u)[1] for u in p.units(t)]) for t in b.column("part").to_pylist()]
+            yield pa.record_batch({"_row": b.column("_row"), "k": b.column("k"), "ids": lists(raw)})
+
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.rdd.getNumPartitions())
+    cuts = giants.select("_row", "text").mapInArrow(cut, "_row bigint, k bigint, part string").repartition(parts, "_row", "k")
+    whole = cuts.mapInArrow(solve, "_row bigint, k bigint, ids array<int>").groupBy("_row")
+    whole = whole.agg(F.expr("flatten(transform(array_sort(collect_list(struct(k, ids))), x -> x.ids))").alias("ids"))
+    return giants.join(whole, "_row").drop("_row")
 
 
-def giants(docs: DataFrame, model: str, chunk: int, name: str) -> DataFrame:
+def giants(docs: DataFrame, model: str, chunk: int, name: str, merges: bool = False) -> DataFrame:
     """The same for giant texts: chunks solved, joined and traced in parallel."""
+    if merges:
+        return giants_by_merges(docs, model, chunk, name)
     spark = docs.sparkSession
     giants = stored(docs.withColumn("_row", F.monotonically_increasing_id()), name)
 
@@ -364,13 +457,13 @@ def described(coded: DataFrame, model: str) -> DataFrame:
     return coded.select("doc_id", "text", "ids").mapInArrow(describe, DESCRIBED)
 
 
-def round_trip(docs: DataFrame, model: str, chunk: int = CHUNK, name: str = "pieces") -> DataFrame:
+def round_trip(docs: DataFrame, model: str, chunk: int = CHUNK, name: str = "pieces", merges: bool = False) -> DataFrame:
     """``described`` of all documents, with texts that are not giant encoded and decoded in one pass."""
     small_batches(docs.sparkSession, 500)
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p = pieces(model)
+        p = pieces(model, merges)
         for batch in batches:
             for part, data, offsets in runs(batch, "text"):
                 ids, n, text, cuts = p.encode_run(data, offsets)
@@ -383,11 +476,11 @@ def round_trip(docs: DataFrame, model: str, chunk: int = CHUNK, name: str = "pie
                 crc = [zlib.crc32(raw[4 * (e - k) : 4 * e]) for k, e in zip(n.tolist(), ends.tolist(), strict=True)]
                 yield pa.record_batch({"doc_id": part.column("doc_id"), "n_ids": pa.array(n, pa.int64()), "ids_crc32": pa.array(crc, pa.int64()), "same_text": pa.array(same, pa.bool_())})
 
-    return docs.where(~is_giant(chunk)).mapInArrow(short, DESCRIBED).union(described(giants(docs.where(is_giant(chunk)), model, chunk, name), model))
+    return docs.where(~is_giant(chunk)).mapInArrow(short, DESCRIBED).union(described(giants(docs.where(is_giant(chunk)), model, chunk, name, merges), model))
 
 
 def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     model = public_tokenizers.path("piece_bpe_32k.model")
-    return round_trip(table(spark, sf_dir, "documents"), model)
+    return round_trip(table(spark, sf_dir, "documents"), model, merges=by_merges(model))
