@@ -66,7 +66,7 @@ def transcription_check(s, d):
     SELECT a.p_partkey AS mass, b.p_partkey AS molar, round(10.0::DOUBLE / a.p_size, 6) AS factor FROM p a JOIN p b ON a.p_name = b.p_name AND a.method IS NOT DISTINCT FROM b.method WHERE a.kind = 'mass' AND b.kind = 'molar'""")
 def unit_pairs(s, d):
     """Mass and molar twins agree on all axes; the method may be null on both."""
-    p = t(s, d, "part").where("p_partkey < 400").select("p_partkey", "p_name", "p_size", F.when(F.col("p_size") % 5 > 0, F.col("p_type")).alias("method"))
+    p = t(s, d, "part").select("p_partkey", "p_name", "p_size", F.when(F.col("p_size") % 5 > 0, F.col("p_type")).alias("method"))
     a, b = p.where("p_partkey % 2 = 0").alias("a"), p.where("p_partkey % 2 = 1").alias("b")
     on = (F.col("a.p_name") == F.col("b.p_name")) & F.col("a.method").eqNullSafe(F.col("b.method"))
     return a.join(b, on).select(F.col("a.p_partkey").alias("mass"), F.col("b.p_partkey").alias("molar"), F.round(10.0 / F.col("a.p_size"), 6).alias("factor"))
@@ -185,7 +185,7 @@ def underverified(s, d):
     SELECT x.cui, x.code AS sc, y.code AS oc, bool_or(x.n = y.n) AS same_name FROM b x JOIN b y ON x.cui = y.cui AND x.v < y.v GROUP BY 1, 2, 3""")
 def shared_concept_pairs(s, d):
     """Codes of two vocabularies in one concept, and whether they share a name as a bag of words."""
-    a = t(s, d, "lineitem").where("l_orderkey < 3000").join(t(s, d, "part"), F.col("p_partkey") == F.col("l_partkey"))
+    a = t(s, d, "lineitem").join(t(s, d, "part"), F.col("p_partkey") == F.col("l_partkey"))
     b = a.select(F.col("l_orderkey").alias("cui"), F.when(F.col("l_linestatus") == "O", "A").otherwise("B").alias("v"), F.col("l_partkey").alias("code"), F.array_join(F.array_sort(F.split("p_name", " ")), " ").alias("n")).distinct()
     x, y = b.where("v = 'A'").select("cui", F.col("code").alias("sc"), F.col("n").alias("n1")), b.where("v = 'B'").select("cui", F.col("code").alias("oc"), F.col("n").alias("n2"))
     return x.join(y, "cui").groupBy("cui", "sc", "oc").agg(F.bool_or(F.col("n1") == F.col("n2")).alias("same_name"))
@@ -195,6 +195,6 @@ def shared_concept_pairs(s, d):
     SELECT o_custkey, n_name FROM o JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey WHERE groups = 1 AND NOT conditional""")
 def single_group_chain(s, d):
     """Chained only where a source has one group, and that one without a condition."""
-    o = t(s, d, "orders").where("o_orderkey % 7 = 0").select("o_custkey", "o_orderstatus", "o_orderpriority").distinct()
+    o = t(s, d, "orders").select("o_custkey", "o_orderstatus", "o_orderpriority").distinct()
     one = o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("groups"), F.bool_or(F.col("o_orderpriority").like("1%")).alias("conditional")).where("groups = 1 and not conditional")
     return one.join(t(s, d, "customer"), F.col("c_custkey") == F.col("o_custkey")).join(t(s, d, "nation"), F.col("n_nationkey") == F.col("c_nationkey")).select("o_custkey", "n_name")
