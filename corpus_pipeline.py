@@ -22,7 +22,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines within one word edit of an earlier line go; documents left without words go with them."""
-    return lines.dedup(docs.select(*COLUMNS), "pipeline-lines")
+    return lines.dedup(docs.select(*COLUMNS), "pipeline-lines", **lines.WHOLE)
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -503,6 +503,23 @@ def test_lines(spark):
             assert kept[i] == (t if t is None else "\n".join(left),)
 
 
+def brute_all_lines(texts):
+    """Every line with words; an edit must leave more than half of the longer line's words."""
+    all_ = [(i, k, t.lower().split()) for i, x in enumerate(texts) for k, t in enumerate((x or "").split("\n"))]
+    return {(i, k) for p, (i, k, w) in enumerate(all_) if w and any(v == w or max(len(v), len(w)) > 2 and v and near(v, w) and 2 * (max(len(v), len(w)) - 1) > max(len(v), len(w)) for _, _, v in all_[:p])}
+
+
+def test_short_lines(spark):
+    rng = random.Random(9)
+    texts = ["\n".join(" ".join(rng.choice("abcdefghijklmnop") for _ in range(rng.choice([0, 1, 2, 2, 3, 3, 4, 5, 7]))) for _ in range(rng.randrange(0, 4))) for _ in range(150)]
+    texts += ["Read more", "read  more\n \nRead all", "Share this page now", "share that page now", "share page now", None, "", "\t\n  \n", "Menu", "menu"]
+    got = {(r.doc_id, r.line) for r in lines.duplicates(docs(spark, texts, True), **lines.WHOLE).collect()}
+    assert got == brute_all_lines(texts) and got
+    d = spark.read.parquet(f"{SF}/documents.parquet").sort("doc_id").collect()
+    query, want = by_id(lines.op10_lines(spark, SF), "gone"), brute_all_lines([r.text for r in d])
+    assert query == {r.doc_id: (",".join(str(k) for k in sorted(k for n, k in want if n == i)),) for i, r in enumerate(d)}
+
+
 def test_lines_edges(spark):
     assert lines.duplicates(docs(spark, [])).count() == 0
     d = spark.createDataFrame([(1, "one two three"), (1, "one two three"), (None, "one two three"), (2, "One  two three")], DOCS)

@@ -3,8 +3,9 @@
 Native: DataFrame and SQL functions only.
 
 A line is normalised to its lower-cased words. Two lines are near if one word inserted, deleted or replaced turns one
-into the other; lines of fewer than ``NEAR_WORDS`` words must be equal, and lines of fewer than ``MIN_WORDS`` words stay
-untouched. A line goes if an earlier line (smaller doc_id, then smaller line number; kept or not) is equal or near.
+into the other and leaves more than half of the longer line's words, so the longer line has at least three words; all other lines with words
+must be equal. Callers may ask for less: lines of fewer than ``near_words`` words must be equal, and lines of fewer than ``min_words`` words
+stay untouched. The query and the pipeline ask for all (``WHOLE``). A line goes if an earlier line (smaller doc_id, then smaller line number; kept or not) is equal or near.
 
 1. Equal lines: grouped by two 64-bit hashes, the earliest occurrence stays.
 2. Which lines can have a near one: if one word is edited, all blocks of a line but the edited one are found in the other, counted from
@@ -27,6 +28,8 @@ from pyspark.sql import functions as F
 from .common import aside, stored, table
 
 MIN_WORDS, NEAR_WORDS = 3, 8
+#: Every line with words, and every near pair: a line of two words can be near to one of three.
+WHOLE = {"min_words": 1, "near_words": 2}
 BLOCKS = 2
 #: So many lines at most (40 bytes each or so) are broadcast to find their words; beyond it a shuffle does.
 BROADCAST_LINES = 1_000_000
@@ -41,16 +44,16 @@ def words(t: Column) -> Column:
     return F.when(odd, F.filter(F.split(F.regexp_replace(low, "[\\x09-\\x0D\\x20]+", " "), " "), lambda w: w != "")).otherwise(F.split(low, " "))
 
 
-def lines(docs: DataFrame) -> DataFrame:
+def lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, line (number), w (words), n for the lines with enough words."""
     each = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "t")).select("doc_id", "line", words(F.col("t")).alias("w"))
-    return each.withColumn("n", F.size("w")).where(F.col("n") >= MIN_WORDS)
+    return each.withColumn("n", F.size("w")).where((F.col("n") >= min_words) & (F.col("w")[0] != ""))
 
 
-def hashed(docs: DataFrame, name: str) -> DataFrame:
+def hashed(docs: DataFrame, name: str, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
     """doc_id, line, h1, h2 and the block keys (null for short lines): texts are taken apart once, all else reads this table."""
-    keys = F.when(F.col("n") >= NEAR_WORDS, block_keys()).alias("keys")
-    return stored(lines(docs).select("doc_id", "line", *identity(), keys), name)
+    keys = F.when(F.col("n") >= near_words, block_keys()).alias("keys")
+    return stored(lines(docs, min_words).select("doc_id", "line", *identity(), keys), name)
 
 
 def identity() -> list[Column]:
@@ -65,15 +68,15 @@ def block_keys() -> Column:
         m = f"(n - {less})"
         for q in range(BLOCKS):
             before, after = f"({m} * {q} div {BLOCKS})", f"({m} - {m} * {q + 1} div {BLOCKS})"
-            keys.append(F.expr(f"xxhash64({m}, {q}, slice(w, 1, cast({before} as int)), slice(w, cast(n - {after} + 1 as int), cast({after} as int)))"))
-    return F.array(*keys)
+            keys.append(F.expr(f"CASE WHEN {m} > 1 THEN xxhash64({m}, {q}, slice(w, 1, cast({before} as int)), slice(w, cast(n - {after} + 1 as int), cast({after} as int))) END"))
+    return F.array_compact(F.array(*keys))
 
 
 def variants() -> Column:
     """(key, place) of each variant with one word deleted; place -1: the line itself.
 
     A sequence's key is the xor of its hashed (word, place) pairs, with its length; the variants' keys follow
-    from running xors, kept per 64 words, so long lines cost no quadratic time.
+    from running xors, kept per 64 words, so long lines cost no quadratic time. A line of two words has no variants.
     """
     xor = lambda a: f"aggregate({a}, 0L, (s, x) -> s ^ x)"
     return F.expr(f"""
@@ -82,7 +85,7 @@ def variants() -> Column:
         transform(array(named_struct('a', r.a, 'b', r.b, 'd', r.d, 'c', transform(sequence(0, (n - 1) div 64), c -> {xor("slice(r.d, cast(c * 64 + 1 as int), 64)")}), 't', {xor("r.b")})), r ->
         transform(array(named_struct('a', r.a, 'b', r.b, 'd', r.d, 't', r.t, 'p', transform(sequence(0, (n - 1) div 64), c -> {xor("slice(r.c, 1, cast(c as int))")}))), r ->
             concat(array(named_struct('key', xxhash64({xor("r.a")}, n), 'place', -1)),
-            transform(sequence(0, n - 1), i -> named_struct('key', xxhash64(r.t ^ r.p[cast(i div 64 as int)] ^ {xor("slice(r.d, cast(i div 64 * 64 + 1 as int), i % 64)")} ^ r.b[i], n - 1), 'place', i))
+            transform(CASE WHEN n > 2 THEN sequence(0, n - 1) ELSE cast(array() as array<int>) END, i -> named_struct('key', xxhash64(r.t ^ r.p[cast(i div 64 as int)] ^ {xor("slice(r.d, cast(i div 64 * 64 + 1 as int), i % 64)")} ^ r.b[i], n - 1), 'place', i))
         ))[0])[0])[0])[0]""")
 
 
@@ -129,9 +132,9 @@ def near_lines(docs: DataFrame, every: DataFrame, name: str = "lines") -> DataFr
     return pairs.where(edit).select(F.col("z_h1").alias("h1"), F.col("z_h2").alias("h2")).distinct()
 
 
-def duplicates(docs: DataFrame, name: str = "lines") -> DataFrame:
+def duplicates(docs: DataFrame, name: str = "lines", min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
     """doc_id, line of every occurrence that goes."""
-    every = hashed(docs, name)
+    every = hashed(docs, name, min_words, near_words)
     near = near_lines(docs, every, name).withColumn("near", F.lit(True))
     own = every.select("doc_id", "line", "h1", "h2")
     group = own.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count(F.lit(1)).alias("k"))
@@ -139,16 +142,16 @@ def duplicates(docs: DataFrame, name: str = "lines") -> DataFrame:
     return own.join(known, ["h1", "h2"]).where("near or struct(doc_id, line) > first").select("doc_id", "line").distinct()
 
 
-def gone(docs: DataFrame, name: str = "lines") -> DataFrame:
+def gone(docs: DataFrame, name: str = "lines", min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
     """doc_id and the sorted numbers of its lines that go."""
-    return duplicates(docs, name).groupBy("doc_id").agg(F.array_sort(F.collect_list("line")).alias("gone"))
+    return duplicates(docs, name, min_words, near_words).groupBy("doc_id").agg(F.array_sort(F.collect_list("line")).alias("gone"))
 
 
-def dedup(docs: DataFrame, name: str = "lines") -> DataFrame:
+def dedup(docs: DataFrame, name: str = "lines", min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
     """``docs`` without those lines; a document that had words and has none left is dropped."""
     columns = docs.columns
     docs, back = aside(docs, "gone", "_id", "_cut")
-    g = stored(gone(docs, name), name).withColumnRenamed("doc_id", "_id")
+    g = stored(gone(docs, name, min_words, near_words), name).withColumnRenamed("doc_id", "_id")
     both = docs.join(g, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
     kept = F.array_join(F.expr("filter(split(text, '\\n'), (x, i) -> not array_contains(gone, i))"), "\n")
     both = both.withColumn("_cut", F.col("gone").isNotNull() & F.col("text").isNotNull()).withColumn("text", F.when(F.col("_cut"), kept).otherwise(F.col("text")))
@@ -161,7 +164,7 @@ def dedup(docs: DataFrame, name: str = "lines") -> DataFrame:
 def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of every document: n_lines, n_gone and the numbers of the lines that go, comma-joined."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    g = gone(docs).withColumnRenamed("doc_id", "_id")
+    g = gone(docs, **WHOLE).withColumnRenamed("doc_id", "_id")
     n = docs.select("doc_id", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"))
     both = n.join(g, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
     return both.select("doc_id", "n_lines", F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_gone"), F.coalesce(F.array_join("gone", ","), F.lit("")).alias("gone"))
