@@ -269,6 +269,17 @@ def test_licenses(spark):
     assert licenses.scan(docs(spark, [])).count() == 0
 
 
+def test_licenses_wrapped(spark):
+    mit = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction"""
+    bsd = """Copyright x\n\n * Redistribution and use in source and binary forms, with or without
+ * modification, are permitted provided that the following conditions are met:\n *\n * 1. Redistributions"""
+    texts = [f"x y\n{mit}\nz", bsd, "This work is licensed under the GNU\nGeneral Public\nLicense version 3", "\n".join(licenses.TEMPLATES[1][1].split()), "with or without\nmodification of any copy"]
+    got = by_id(licenses.scan(docs(spark, texts, True)), "labels", "score")
+    assert [got[i][0] for i in range(5)] == ["mit-grant", "bsd-grant", "gpl,gpl-notice", "mit-grant", ""] and all(got[i][1] == 1 for i in range(4))
+
+
 # ---------------------------------------------------------------- 6
 
 

@@ -2,7 +2,8 @@
 
 Native: DataFrame and SQL functions only.
 
-Blocks are lines; a block and a template are sets of words. A block matches a template if it holds at least ``THRESHOLD`` of
+Blocks are lines, and for notices wrapped over lines each line with a prefix word together with the words around it, as many on either side
+as the longest template has. What a line says of a template goes before what its surroundings say. A block and a template are sets of words. A block matches a template if it holds at least ``THRESHOLD`` of
 the template's words (containment). Template words are put in the order of how many documents hold them, rarest first, counted over
 the whole corpus. If ``need`` words must be common, one of the first ``n - need + 1`` words must be in the block (prefix
 filter); the block must have ``need`` words (length filter); and from the first common word on, both must have enough
@@ -71,7 +72,7 @@ def order_of(docs: DataFrame, templates: list[tuple[str, str]]) -> dict[str, int
 
 
 def template_join(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, key, block, label, containment: every (line, template) pair that meets the threshold."""
+    """doc_id, key, block, label, containment, wrapped: every (line, template) pair that meets the threshold, and those of lines with their surroundings."""
     spark = docs.sparkSession
     count = order_of(docs, templates)
     rows = []
@@ -81,21 +82,42 @@ def template_join(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
         rows += [(own[p], label, own, p, len(own), need) for p in range(len(own) - need + 1)]
     prefix = spark.createDataFrame(rows, "word string, label string, own array<string>, place int, n int, need int")
     starts = sorted({r[0] for r in rows})
+    hit = "(?<![0-9a-z\\x80-\\x{10FFFF}])(?:" + "|".join(starts) + ")(?![0-9a-z\\x80-\\x{10FFFF}])"
     lines = docs.select("doc_id", F.xxhash64("text").alias("key"), F.posexplode(F.split("text", "\n")).alias("block", "line"))
     # a line without any prefix word is left before its words are taken apart
-    lines = lines.withColumn("line", F.lower("line")).where(F.col("line").rlike("(?<![0-9a-z\\x80-\\x{10FFFF}])(?:" + "|".join(starts) + ")(?![0-9a-z\\x80-\\x{10FFFF}])"))
-    lines = lines.select("doc_id", "key", "block", F.array_distinct(F.regexp_extract_all("line", F.lit(_WORD), 0)).alias("w"))
+    lines = lines.withColumn("line", F.lower("line")).where(F.col("line").rlike(hit))
+    lines = lines.select("doc_id", "key", "block", F.array_distinct(F.regexp_extract_all("line", F.lit(_WORD), 0)).alias("w"), F.lit(False).alias("wrapped"))
+    lines = lines.union(surroundings(docs, hit, max((len(t.split()) for _, t in templates), default=0)))
     met = lines.select("*", F.size("w").alias("size"), F.explode(F.array_intersect("w", F.array(*map(F.lit, starts)))).alias("word"))
     met = met.join(F.broadcast(prefix), "word").where("size >= need and n - place >= need")
     common = F.size(F.array_intersect("w", "own"))
     # a pair is verified at its first common word in the order only; from there on both have enough words left
     earlier = F.size(F.array_intersect("w", F.expr("slice(own, 1, place)")))
-    return met.where(earlier == 0).withColumn("common", common).where("common >= need").select("doc_id", "key", "block", "label", (F.col("common") / F.col("n")).alias("containment"))
+    return met.where(earlier == 0).withColumn("common", common).where("common >= need").select("doc_id", "key", "block", "label", (F.col("common") / F.col("n")).alias("containment"), "wrapped")
+
+
+def surroundings(docs: DataFrame, hit: str, reach: int) -> DataFrame:
+    """doc_id, key, block, w, wrapped: the words of each line that ``hit`` meets, with up to ``reach`` words before and after it."""
+    none = F.array().cast("array<string>")
+    add = lambda a, x: F.when(F.size(a) >= reach, a)
+
+    def around(i: Column) -> Column:
+        at, ls = i.cast("int"), F.col("ls")
+        before = F.reverse(F.slice(ls, F.greatest(at - 2 * reach + 1, F.lit(1)), F.least(at, F.lit(2 * reach))))
+        before = F.aggregate(before, none, lambda a, x: add(a, x).otherwise(F.concat(words(x), a)), lambda a: F.slice(a, F.greatest(F.size(a) - reach + 1, F.lit(1)), reach))
+        after = F.aggregate(F.slice(ls, at + 2, 2 * reach), none, lambda a, x: add(a, x).otherwise(F.concat(a, words(x))), lambda a: F.slice(a, 1, reach))
+        return F.array_distinct(F.concat(before, words(F.get(ls, at)), after))
+
+    d = docs.where(F.lower("text").rlike(hit)).select("doc_id", F.xxhash64("text").alias("key"), F.split("text", "\n").alias("ls")).where(F.size("ls") > 1)
+    met = d.select("*", F.explode(F.filter(F.transform("ls", lambda x, i: F.when(F.lower(x).rlike(hit), i)), lambda i: i.isNotNull())).alias("block"))
+    return met.select("doc_id", "key", "block", around(F.col("block")).alias("w"), F.lit(True).alias("wrapped"))
 
 
 def scan(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    found = template_join(docs).groupBy("doc_id", "key").agg(F.collect_set("label").alias("found"), F.max("containment").alias("best"))
+    line = F.max(F.when(~F.col("wrapped"), F.col("containment")))
+    found = template_join(docs).groupBy("doc_id", "key", "label").agg(F.coalesce(line, F.max("containment")).alias("containment"))
+    found = found.groupBy("doc_id", "key").agg(F.collect_set("label").alias("found"), F.max("containment").alias("best"))
     found = found.select(F.col("doc_id").alias("_d"), F.col("key").alias("_k"), "found", "best")
     base = base_scan(docs)
     both = base.join(found, base.doc_id.eqNullSafe(found._d) & (base.key == found._k), "left")
