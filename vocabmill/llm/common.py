@@ -44,8 +44,9 @@ def aside(df: DataFrame, *names: str) -> tuple[DataFrame, list]:
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Texts reach Python workers in batches of so many rows, so that a worker's memory stays bounded."""
+    """Rows reach Python workers in batches of so many and of 16 MB at most (or of one row), so that a worker's memory stays bounded."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
 def split_count(df: DataFrame, factor: int = 1) -> int:
