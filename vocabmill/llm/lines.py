@@ -8,9 +8,9 @@ must be equal. Callers may ask for less: lines of fewer than ``near_words`` word
 stay untouched. The query and the pipeline ask for all (``WHOLE``). A line goes if an earlier line (smaller doc_id, then smaller line number; kept or not) is equal or near.
 
 1. Equal lines: grouped by two 64-bit hashes, the earliest occurrence stays.
-2. Which lines can have a near one: if one word is edited, all blocks of a line but the edited one are found in the other, counted from
-   its start before the edit and from its end after it. Lines that share no such key are near to none and emit nothing more.
-3. Deletion neighbourhood: of the others every variant with one word deleted, and the line itself, as hashed keys. Equal
+2. Which lines can have a near one: one edited word leaves the front half or the back half of a line as it is, counted from the side that
+   it is on. Lines that share no such half with a line of their length, or of one word more or less, are near to none and emit nothing more.
+3. Deletion neighbourhood: of the others every variant with one word deleted, written once as hashed keys. Equal
    (variant, place) of lines of one length is a replaced word; a variant equal to a whole line is an inserted one.
    Groups meet in minimums only, so a variant that thousands of lines share costs no pairs.
 4. The words of a line and of the earliest line that its groups name are compared before it goes.
@@ -30,46 +30,53 @@ from .common import aside, stored, table
 MIN_WORDS, NEAR_WORDS = 3, 8
 #: Every line with words, and every near pair: a line of two words can be near to one of three.
 WHOLE = {"min_words": 1, "near_words": 2}
-BLOCKS = 2
-#: So many lines at most (40 bytes each or so) are broadcast to find their words; beyond it a shuffle does.
+#: So many rows at most (some 16 bytes each) are broadcast to be looked up; beyond it a shuffle does.
 BROADCAST_LINES = 1_000_000
 
 
-def words(t: Column) -> Column:
-    """Lower-cased words between ASCII white space; where single blanks are all there is, without a pattern."""
+def plain(t: Column) -> Column:
+    """Lower-cased words with single blanks between; where the line is like that already, without a pattern."""
     odd = t.startswith(" ") | t.endswith(" ")
     for x in ("  ", "\t", "\x0b", "\f", "\r"):
         odd = odd | t.contains(x)
     low = F.lower(t)
-    return F.when(odd, F.filter(F.split(F.regexp_replace(low, "[\\x09-\\x0D\\x20]+", " "), " "), lambda w: w != "")).otherwise(F.split(low, " "))
+    return F.when(odd, F.trim(F.regexp_replace(low, "[\\x09-\\x0D\\x20]+", " "))).otherwise(low)
 
 
 def lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, line (number), w (words), n for the lines with enough words."""
-    each = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "t")).select("doc_id", "line", words(F.col("t")).alias("w"))
-    return each.withColumn("n", F.size("w")).where((F.col("n") >= min_words) & (F.col("w")[0] != ""))
+    """doc_id, line (number), s (words between single blanks), n for the lines with enough words."""
+    each = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "t")).select("doc_id", "line", plain(F.col("t")).alias("s")).where("s <> ''")
+    return each.withColumn("n", F.octet_length("s") - F.octet_length(F.replace("s", F.lit(" "), F.lit(""))) + 1).where(F.col("n") >= min_words)
 
 
 def hashed(docs: DataFrame, name: str, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
-    """doc_id, line, h1, h2 and the block keys (null for short lines): texts are taken apart once, all else reads this table."""
-    keys = F.when(F.col("n") >= near_words, block_keys()).alias("keys")
+    """doc_id, line, h1, h2 and the keys of halves (null for short lines): texts are taken apart once, all else reads this table."""
+    keys = F.when(F.col("n") >= near_words, half_keys()).alias("keys")
     return stored(lines(docs, min_words).select("doc_id", "line", *identity(), keys), name)
 
 
 def identity() -> list[Column]:
     """128 bits for a line's words."""
-    return [F.xxhash64("w").alias("h1"), F.xxhash64(F.lit(1), "w").alias("h2")]
+    return [F.xxhash64("s").alias("h1"), F.xxhash64(F.lit(1), "s").alias("h2")]
 
 
-def block_keys() -> Column:
-    """For each possible shorter length m (own length, or one less) and block q: the words before the block and those after it."""
+def half_keys() -> Column:
+    """Hashes of the front and back half of a line of m words, for its own length m and for one word less."""
     keys = []
-    for less in (0, 1):
-        m = f"(n - {less})"
-        for q in range(BLOCKS):
-            before, after = f"({m} * {q} div {BLOCKS})", f"({m} - {m} * {q + 1} div {BLOCKS})"
-            keys.append(F.expr(f"CASE WHEN {m} > 1 THEN xxhash64({m}, {q}, slice(w, 1, cast({before} as int)), slice(w, cast(n - {after} + 1 as int), cast({after} as int))) END"))
-    return F.array_compact(F.array(*keys))
+    for m in ("n", "n - 1"):
+        front = f"substring_index(s, ' ', ({m}) div 2)"
+        back = f"substring_index(s, ' ', -({m} - ({m}) div 2))"
+        keys += [f"CASE WHEN {m} > 1 THEN xxhash64({m}, 0, {front}) END", f"CASE WHEN {m} > 1 THEN xxhash64({m}, 1, {back}) END"]
+    return F.expr(f"array_compact(array({', '.join(keys)}))")
+
+
+def moment(doc_id: str = "doc_id", line: str = "line") -> Column:
+    """The order of occurrences as one number, which hash aggregation can hold: doc_id (null first), then line."""
+    return F.expr(f"cast(coalesce(cast({doc_id} as decimal(20, 0)), cast('-9223372036854775809' as decimal(20, 0))) * cast(4294967296 as decimal(10, 0)) + cast({line} as decimal(10, 0)) as decimal(32, 0))")
+
+
+def few(df: DataFrame) -> bool:
+    return df.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES
 
 
 def variants() -> Column:
@@ -91,43 +98,38 @@ def variants() -> Column:
 
 def near_lines(docs: DataFrame, every: DataFrame, name: str = "lines") -> DataFrame:
     """h1, h2 of the distinct lines that have an earlier near line; ``every``: the table of ``hashed``."""
-    keys = every.where("keys is not null").select("h1", F.explode("keys").alias("key"))
-    shared = keys.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo <> hi").select("key")
-    able = keys.join(shared, "key", "left_semi").select("h1").distinct()
-    firsts = every.where("keys is not null").join(able, "h1", "left_semi").groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line")).alias("first"))
-    firsts = stored(firsts, name)
-    few = firsts.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES
-    hint = F.broadcast if few else lambda x: x
-    # the words of just those lines
-    at = firsts.select(F.col("first.doc_id").alias("_d"), F.col("first.line").alias("_l"), "h1", "h2", "first")
+    look_up = lambda x: F.broadcast(x) if few(x) else x
+    keys = every.where("keys is not null").select("doc_id", "line", "h1", "h2", F.explode("keys").alias("key"))
+    shared = stored(keys.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo <> hi").select("key"), name)
+    able = keys.join(look_up(shared), "key", "left_semi")
+    firsts = stored(able.groupBy("h1", "h2").agg(F.min(moment()).alias("moment"), F.min_by(F.struct("doc_id", "line"), moment()).alias("first")), name)
+    # the words of just those lines, numbered in the order of their first occurrence
+    at = firsts.select(F.col("first.doc_id").alias("_d"), F.col("first.line").alias("_l"), "h1", "h2", "moment")
+    hint = F.broadcast if few(firsts) else lambda x: x
     held = docs.join(hint(at.select("_d").distinct()), F.col("doc_id").eqNullSafe(F.col("_d")), "left_semi")
     each = held.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "t")).join(hint(at), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("line") == F.col("_l")))
-    each = each.select("h1", "h2", "first", words(F.col("t")).alias("w")).where(F.xxhash64("w") == F.col("h1"))
-    own = stored(each.groupBy("h1", "h2").agg(F.any_value("first").alias("first"), F.any_value("w").alias("w")).withColumn("n", F.size("w")), name)
+    each = each.select("h1", "h2", "moment", plain(F.col("t")).alias("s")).where(F.xxhash64("s") == F.col("h1")).dropDuplicates(["h1", "h2"])
+    own = each.orderBy("moment").select(F.monotonically_increasing_id().alias("id"), "h1", "h2", "moment", F.split("s", " ").alias("w"))
+    own = stored(own.withColumn("n", F.size("w")), name)
 
-    v = own.select("first", "h1", "h2", F.explode(variants()).alias("v")).select("first", "h1", "h2", "v.key", "v.place")
-    me = F.struct("first", "h1", "h2")
+    v = stored(own.select("id", F.explode(variants()).alias("v")).select("id", "v.key", "v.place"), name)
     # replaced word: equal variant and place; the earliest of the group and the rest
-    same = v.where("place >= 0").groupBy("key", "place").agg(F.min(me).alias("a"), F.max(me).alias("z"), F.count(F.lit(1)).alias("k")).where("k > 1")
+    same = v.where("place >= 0").groupBy("key", "place").agg(F.min("id").alias("a"), F.max("id").alias("z"), F.count(F.lit(1)).alias("k")).where("k > 1")
     same = stored(same, name)
     pairs = same.where("k = 2").select("a", "z", "place")
     more = same.where("k > 2").select("key", "place", "a")
-    pairs = pairs.union(v.where("place >= 0").join(more, ["key", "place"]).where("h1 <> a.h1 or h2 <> a.h2").select("a", me.alias("z"), "place"))
+    pairs = pairs.union(v.where("place >= 0").join(look_up(more), ["key", "place"]).where("id > a").select("a", F.col("id").alias("z"), "place"))
     # inserted word: a variant equals a whole line
-    whole = v.where("place = -1").select("key", me.alias("whole"))
-    cut = v.where("place >= 0").select("key", "place", me.alias("cut")).join(whole, "key")
-    cut = cut.groupBy("whole", "key").agg(F.min(F.struct("cut", "place")).alias("c")).select(F.col("c.cut").alias("cut"), "whole", F.col("c.place").alias("place")).union(
-        cut.groupBy("cut").agg(F.min(F.struct("whole", "place")).alias("c")).select("cut", F.col("c.whole").alias("whole"), F.col("c.place").alias("place"))
-    )
-    cut = cut.select(F.least("cut", "whole").alias("a"), F.greatest("cut", "whole").alias("z"), "place")
-    pairs = pairs.union(cut).where("a.first < z.first").distinct()
-
-    held = own.select("h1", "h2", "w", "n")
+    whole = v.where("place = -1").select("key", F.col("id").alias("whole"))
+    cut = stored(v.where("place >= 0").select("key", "place", F.col("id").alias("cut")).join(look_up(whole), "key"), name)
+    first = lambda by, other: cut.groupBy(by).agg(F.min(other).alias(other), F.min_by("place", other).alias("place")).select("cut", "whole", "place")
+    cut = first("whole", "cut").union(first("cut", "whole")).select(F.least("cut", "whole").alias("a"), F.greatest("cut", "whole").alias("z"), "place")
+    pairs = pairs.union(cut).distinct()
+
     for side in ("a", "z"):
-        w = held.select(*(F.col(c).alias(f"{side}_{c}") for c in held.columns))
-        pairs = pairs.join(w, (F.col(f"{side}.h1") == F.col(f"{side}_h1")) & (F.col(f"{side}.h2") == F.col(f"{side}_h2")))
+        pairs = pairs.join(own.select(*(F.col(c).alias(side if c == "id" else f"{side}_{c}") for c in own.columns)), side)
     without = lambda x: f"concat(slice({x}, 1, place), slice({x}, place + 2, size({x})))"
-    edit = F.expr(f"""CASE WHEN a_n = z_n THEN size(filter(zip_with(a_w, z_w, (x, y) -> x <> y), d -> d)) <= 1
+    edit = F.expr(f"""a_moment < z_moment AND CASE WHEN a_n = z_n THEN size(filter(zip_with(a_w, z_w, (x, y) -> x <> y), d -> d)) <= 1
         WHEN a_n = z_n + 1 THEN {without("a_w")} = z_w WHEN z_n = a_n + 1 THEN {without("z_w")} = a_w ELSE false END""")
     return pairs.where(edit).select(F.col("z_h1").alias("h1"), F.col("z_h2").alias("h2")).distinct()
 
@@ -137,9 +139,9 @@ def duplicates(docs: DataFrame, name: str = "lines", min_words: int = MIN_WORDS,
     every = hashed(docs, name, min_words, near_words)
     near = near_lines(docs, every, name).withColumn("near", F.lit(True))
     own = every.select("doc_id", "line", "h1", "h2")
-    group = own.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count(F.lit(1)).alias("k"))
+    group = own.groupBy("h1", "h2").agg(F.min(moment()).alias("first"), F.count(F.lit(1)).alias("k"))
     known = group.join(near, ["h1", "h2"], "left").where("k > 1 or near").select("h1", "h2", "first", "near")
-    return own.join(known, ["h1", "h2"]).where("near or struct(doc_id, line) > first").select("doc_id", "line").distinct()
+    return own.join(known, ["h1", "h2"]).where(F.col("near") | (moment() > F.col("first"))).select("doc_id", "line").distinct()
 
 
 def gone(docs: DataFrame, name: str = "lines", min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
