@@ -176,12 +176,12 @@ ORACLE = {
     "op10_lines": rf"""
         WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS t, unnest(range(0, len(string_split(text, chr(10))))) AS line FROM documents),
         w AS (SELECT doc_id, line, regexp_extract_all(lower(t), '[^\x09-\x0D\x20]+') AS ws FROM l),
-        o AS (SELECT doc_id, line, ws, array_to_string(ws, ' ') AS s FROM w WHERE len(ws) >= {MIN_WORDS}),
+        o AS (SELECT doc_id, line, ws, array_to_string(ws, ' ') AS s FROM w WHERE len(ws) > 0),
         d AS (SELECT s, any_value(ws) AS ws, min((doc_id, line)) AS first FROM o GROUP BY s),
-        v AS (SELECT s, first, i, len(ws) AS n, array_to_string(list_concat(ws[1:i - 1], ws[i + 1:]), ' ') AS key FROM (SELECT s, ws, first, unnest(range(1, len(ws) + 1)) AS i FROM d WHERE len(ws) >= {NEAR_WORDS})),
+        v AS (SELECT s, first, i, len(ws) AS n, array_to_string(list_concat(ws[1:i - 1], ws[i + 1:]), ' ') AS key FROM (SELECT s, ws, first, unnest(range(1, len(ws) + 1)) AS i FROM d WHERE len(ws) > 2)),
         near AS (
             SELECT b.s FROM v a JOIN v b ON a.key = b.key AND a.i = b.i AND a.n = b.n AND a.first < b.first
-            UNION SELECT CASE WHEN v.first < d.first THEN d.s ELSE v.s END FROM v JOIN d ON d.s = v.key AND len(d.ws) >= {NEAR_WORDS}),
+            UNION SELECT CASE WHEN v.first < d.first THEN d.s ELSE v.s END FROM v JOIN d ON d.s = v.key),
         g AS (SELECT DISTINCT o.doc_id, o.line FROM o JOIN d USING (s) WHERE (o.doc_id, o.line) > d.first OR o.s IN (SELECT s FROM near)),
         a AS (SELECT doc_id, count(*) AS n_gone, string_agg(line::VARCHAR, ',' ORDER BY line) AS gone FROM g GROUP BY doc_id)
         SELECT doc_id, coalesce(len(string_split(text, chr(10))), 0)::BIGINT AS n_lines, coalesce(n_gone, 0)::BIGINT AS n_gone, coalesce(gone, '') AS gone
