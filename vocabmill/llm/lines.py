@@ -45,14 +45,16 @@ def plain(t: Column) -> Column:
 
 def lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, line (number), s (words between single blanks), n for the lines with enough words."""
-    each = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "t")).select("doc_id", "line", plain(F.col("t")).alias("s")).where("s <> ''")
-    return each.withColumn("n", F.octet_length("s") - F.octet_length(F.replace("s", F.lit(" "), F.lit(""))) + 1).where(F.col("n") >= min_words)
+    each = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "t"))
+    # generated, not projected: a filter on s would be pushed below a projection and work it out again
+    each = each.select("doc_id", "line", F.inline(F.array(F.struct(plain(F.col("t")).alias("s"))))).where("s <> ''")
+    each = each.withColumn("n", F.octet_length("s") - F.octet_length(F.replace("s", F.lit(" "), F.lit(""))) + 1)
+    return each.where(F.col("n") >= min_words) if min_words > 1 else each
 
 
 def hashed(docs: DataFrame, name: str, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
-    """doc_id, line, h1, h2 and the keys of halves (null for short lines): texts are taken apart once, all else reads this table."""
-    keys = F.when(F.col("n") >= near_words, half_keys()).alias("keys")
-    return stored(lines(docs, min_words).select("doc_id", "line", *identity(), keys), name)
+    """doc_id, line, h1, h2 and the keys of halves, k0 to k3 (null for short lines): texts are taken apart once, all else reads this table."""
+    return stored(lines(docs, min_words).select("doc_id", "line", *identity(), *half_keys(near_words)), name)
 
 
 def identity() -> list[Column]:
@@ -60,14 +62,13 @@ def identity() -> list[Column]:
     return [F.xxhash64("s").alias("h1"), F.xxhash64(F.lit(1), "s").alias("h2")]
 
 
-def half_keys() -> Column:
+def half_keys(near_words: int) -> list[Column]:
     """Hashes of the front and back half of a line of m words, for its own length m and for one word less."""
     keys = []
-    for m in ("n", "n - 1"):
-        front = f"substring_index(s, ' ', ({m}) div 2)"
-        back = f"substring_index(s, ' ', -({m} - ({m}) div 2))"
-        keys += [f"CASE WHEN {m} > 1 THEN xxhash64({m}, 0, {front}) END", f"CASE WHEN {m} > 1 THEN xxhash64({m}, 1, {back}) END"]
-    return F.expr(f"array_compact(array({', '.join(keys)}))")
+    for m, least in (("n", max(near_words, 2)), ("(n - 1)", max(near_words, 3))):
+        for half in (f"0, substring_index(s, ' ', {m} div 2)", f"1, substring_index(s, ' ', {m} div 2 - {m})"):
+            keys.append(F.expr(f"CASE WHEN n >= {least} THEN xxhash64({m}, {half}) END").alias(f"k{len(keys)}"))
+    return keys
 
 
 def moment(doc_id: str = "doc_id", line: str = "line") -> Column:
@@ -83,23 +84,24 @@ def variants() -> Column:
     """(key, place) of each variant with one word deleted; place -1: the line itself.
 
     A sequence's key is the xor of its hashed (word, place) pairs, with its length; the variants' keys follow
-    from running xors, kept per 64 words, so long lines cost no quadratic time. A line of two words has no variants.
+    from running xors, kept per ``step`` words (the cube root of twice the length), so long lines cost no quadratic time. A line of two words has no variants.
     """
     xor = lambda a: f"aggregate({a}, 0L, (s, x) -> s ^ x)"
+    runs = "sequence(0, (n - 1) div step)"
     return F.expr(f"""
         transform(array(named_struct('a', transform(w, (x, i) -> xxhash64(x, i)), 'b', transform(w, (x, i) -> xxhash64(x, i - 1)))), r ->
         transform(array(named_struct('a', r.a, 'b', r.b, 'd', zip_with(r.a, r.b, (x, y) -> x ^ y))), r ->
-        transform(array(named_struct('a', r.a, 'b', r.b, 'd', r.d, 'c', transform(sequence(0, (n - 1) div 64), c -> {xor("slice(r.d, cast(c * 64 + 1 as int), 64)")}), 't', {xor("r.b")})), r ->
-        transform(array(named_struct('a', r.a, 'b', r.b, 'd', r.d, 't', r.t, 'p', transform(sequence(0, (n - 1) div 64), c -> {xor("slice(r.c, 1, cast(c as int))")}))), r ->
+        transform(array(named_struct('a', r.a, 'b', r.b, 'd', r.d, 'c', transform({runs}, c -> {xor("slice(r.d, cast(c * step + 1 as int), step)")}), 't', {xor("r.b")})), r ->
+        transform(array(named_struct('a', r.a, 'b', r.b, 'd', r.d, 't', r.t, 'p', transform({runs}, c -> {xor("slice(r.c, 1, cast(c as int))")}))), r ->
             concat(array(named_struct('key', xxhash64({xor("r.a")}, n), 'place', -1)),
-            transform(CASE WHEN n > 2 THEN sequence(0, n - 1) ELSE cast(array() as array<int>) END, i -> named_struct('key', xxhash64(r.t ^ r.p[cast(i div 64 as int)] ^ {xor("slice(r.d, cast(i div 64 * 64 + 1 as int), i % 64)")} ^ r.b[i], n - 1), 'place', i))
+            transform(CASE WHEN n > 2 THEN sequence(0, n - 1) ELSE cast(array() as array<int>) END, i -> named_struct('key', xxhash64(r.t ^ r.p[cast(i div step as int)] ^ {xor("slice(r.d, cast(i div step * step + 1 as int), i % step)")} ^ r.b[i], n - 1), 'place', i))
         ))[0])[0])[0])[0]""")
 
 
 def near_lines(docs: DataFrame, every: DataFrame, name: str = "lines") -> DataFrame:
     """h1, h2 of the distinct lines that have an earlier near line; ``every``: the table of ``hashed``."""
     look_up = lambda x: F.broadcast(x) if few(x) else x
-    keys = every.where("keys is not null").select("doc_id", "line", "h1", "h2", F.explode("keys").alias("key"))
+    keys = every.where("k0 is not null").select("doc_id", "line", "h1", "h2", F.explode(F.array("k0", "k1", "k2", "k3")).alias("key")).where("key is not null")
     shared = stored(keys.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo <> hi").select("key"), name)
     able = keys.join(look_up(shared), "key", "left_semi")
     firsts = stored(able.groupBy("h1", "h2").agg(F.min(moment()).alias("moment"), F.min_by(F.struct("doc_id", "line"), moment()).alias("first")), name)
@@ -110,7 +112,8 @@ def near_lines(docs: DataFrame, every: DataFrame, name: str = "lines") -> DataFr
     each = held.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "t")).join(hint(at), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("line") == F.col("_l")))
     each = each.select("h1", "h2", "moment", plain(F.col("t")).alias("s")).where(F.xxhash64("s") == F.col("h1")).dropDuplicates(["h1", "h2"])
     own = each.orderBy("moment").select(F.monotonically_increasing_id().alias("id"), "h1", "h2", "moment", F.split("s", " ").alias("w"))
-    own = stored(own.withColumn("n", F.size("w")), name)
+    own = own.withColumn("n", F.size("w")).withColumn("step", F.greatest(F.lit(4), F.cbrt(2 * F.col("n")).cast("int")))
+    own = stored(own, name)
 
     v = stored(own.select("id", F.explode(variants()).alias("v")).select("id", "v.key", "v.place"), name)
     # replaced word: equal variant and place; the earliest of the group and the rest
