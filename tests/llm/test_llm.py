@@ -54,7 +54,9 @@ def test_words():
             assert [w.text(k).decode() for k in range(w.first[i], w.first[i + 1])] == re.findall(pattern, low)
 
 
-def test_components(spark):
+@pytest.mark.parametrize("one_task", [0, 1 << 16])
+def test_components(spark, monkeypatch, one_task):
+    monkeypatch.setattr(common, "ONE_TASK", one_task)
     rng = random.Random(2)
     links = [(rng.randrange(80), rng.randrange(80)) for _ in range(60)] + [(i, i + 1) for i in range(200, 230)] + [(500, k) for k in range(501, 560)]
     root = {}

@@ -222,13 +222,38 @@ def shingle_sets(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
 # ---------------------------------------------------------------- connected components
 
 
+#: So many links at most (16 bytes each) are connected by one task; beyond it rounds of joins do.
+ONE_TASK = 1 << 16
+
+
+def connected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, component) of links (u, v), all of them in this task."""
+    held = [(b.column("u").to_numpy(), b.column("v").to_numpy()) for b in batches]
+    if held:
+        u, v = (np.concatenate(x) for x in zip(*held, strict=True))
+        name, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+        u, v, low = at[: len(u)], at[len(u) :], np.arange(len(name))
+        while True:  # the smallest neighbour's label, then the label's label
+            new = low.copy()
+            np.minimum.at(new, u, low[v])
+            np.minimum.at(new, v, low[u])
+            new = new[new]
+            if (new == low).all():
+                break
+            low = new
+        yield pa.record_batch({"node": pa.array(name), "component": pa.array(name[low])})
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, component): the smallest node that links reach, for every node of ``edges`` (a, b).
 
     Alternating large-star and small-star steps over written tables; groups only ever meet in
     partial minimums and joins, which Spark can split, so a node with very many links is no hot task.
+    Up to ``ONE_TASK`` links are no work for that many jobs: one task connects them.
     """
     e = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), name)
+    if e.limit(ONE_TASK + 1).count() <= ONE_TASK:
+        return e.coalesce(1).mapInArrow(connected, "node bigint, component bigint")
     before = None
     while True:
         both = e.select(F.col("u").alias("x"), F.col("v").alias("y")).union(e.select("v", "u"))

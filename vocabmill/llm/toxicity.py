@@ -70,10 +70,10 @@ def fit(documents: list[np.ndarray], y: np.ndarray, seed: int = 7, epochs: int =
     """Fit on the distinct terms of each sampled document."""
     if not len(y) or y.min() == y.max():
         return Machine(np.zeros(0, np.int64), -30.0, np.zeros(0), np.zeros((0, FACTORS)))
-    size = np.array([len(d) for d in documents])
-    text, term = np.repeat(np.arange(len(documents)), size), np.concatenate(documents).astype(np.int64)
     n1, n0 = int(y.sum()), int((1 - y).sum())
-    c1, c0 = np.bincount(term, y[text], DIMENSIONS), np.bincount(term, 1 - y[text], DIMENSIONS)
+    c0, c1 = np.zeros(DIMENSIONS), np.zeros(DIMENSIONS)
+    for d, label in zip(documents, y, strict=True):
+        (c1 if label else c0)[d] += 1
     a, b = (c1 + 0.5) / (n1 + 1), (c0 + 0.5) / (n0 + 1)
     z = np.log(a / b) / np.sqrt(1 / (c1 + 0.5) + 1 / (c0 + 0.5))
     z[c1 + c0 < 4] = 0
@@ -81,8 +81,8 @@ def fit(documents: list[np.ndarray], y: np.ndarray, seed: int = 7, epochs: int =
     ids = np.sort(order[np.abs(z[order]) > 4])
     slot = np.full(DIMENSIONS, -1)
     slot[ids] = np.arange(len(ids))
-    k = slot[term]
-    text, k = text[k >= 0], k[k >= 0]
+    known = [x[x >= 0] for x in (slot[d] for d in documents)]
+    text, k = np.repeat(np.arange(len(known)), [len(x) for x in known]), np.concatenate(known)
     rng = np.random.default_rng(seed)
     d = len(ids)
     p = {"b": np.array([0.0]), "w": np.zeros(d), "v": rng.normal(0, 0.01, (d, FACTORS))}
