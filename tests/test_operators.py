@@ -72,6 +72,8 @@ def test_ecl_seeds(spark):
     ids = lambda q: {r.id for r in c.expand(q).collect()}
     assert ids("<< 2") == {2} and ids("<< 77") == set() and ids("*") == {1, 3}
     assert ids('<< 1 {{ term = "hea new" }}') == {3} and ids('<< 1 {{ term = "art" }}') == set()
+    typed = ecl.Compiler(ecl.Edition(concept, rel, closure, concept.withColumn("type", F.when(F.col("id") == 3, 900000000000013009).otherwise(900000000000003001))))
+    assert {r.id for r in typed.expand('<< 1 {{ D term = "heart", type = syn }}').collect()} == {3} and {r.id for r in typed.expand('<< 1 |root| {{ type = (fsn syn) }}').collect()} == {1, 2, 3}
     assert ecl.replay(c, [("< 1", {2, 3}), ("< 1", {2, 4})]) == [("< N", "< 1", 1, 1)]
 
 
@@ -94,7 +96,15 @@ def test_text(spark):
     assert value(text.class_key(F.lit("Beta2 Receptors Blockers [MoA]"))) == "2 beta blocker"
     assert value(text.cited_items(F.lit("see item 12, 15 and 20 of the Medicare Benefits Schedule"))) == ["12", "15", "20"]
     assert value(text.acronym_of(F.lit("mi"), F.lit("Myocardial Infarction"))) and not value(text.acronym_of(F.lit("im"), F.lit("Myocardial Infarction")))
-    assert value(units.malformed(F.lit("[IU]mL"))) == ["missing operator after a bracketed unit"]
+    assert value(units.malformed(F.lit("[IU]mL"))) == ["no operator behind a bracket"]
+
+
+def test_hard_silence(spark):
+    answers = spark.createDataFrame([(1, "a"), (2, "b"), (9, "c")], "subject int, pred string")
+    hard = spark.createDataFrame([(2,), (3,), (4,)], "subject int")
+    assert tuple(quality.hard_silence(answers, hard).first()) == (3, 1, 0.6667)
+    score = quality.route_score(answers, spark.createDataFrame([(1, "z")], "subject int, gold string")).first()
+    assert score.correct == 0 and score.weight == float("-inf")
 
 
 def test_ledger_balances(spark):
@@ -115,7 +125,10 @@ def test_numbering(spark):
 
 def test_rule_syntax():
     assert quality.terms("<< 12 |x| OR ^ 9") == [("<<", 12), ("^", 9)] and quality.terms("< 1 : 2 = 3") is None
+    assert quality.terms("(<< 12 OR 7)") == [("<<", 12), ("self", 7)] and quality.terms("dec(>#0..)") is None
     assert quality.concrete_range("dec(>#0..)") == ("dec", 0.0, True, None, False)
+    assert quality.concrete_range("int(#5..<=#30)") == ("int", 5.0, False, 30.0, False) and quality.concrete_range("dec(>=#1..<#2)") == ("dec", 1.0, False, 2.0, True)
+    assert quality.concrete_range('str("*")') == ("str", None, False, None, False) and quality.concrete_range("<< 1") is None
 
 
 def test_editions(spark):
@@ -133,6 +146,13 @@ def test_readers(spark, tmp_path):
     assert set(got) == {"A:1", "A:2"} and got["A:1"].is_a == ["A:0"] and got["A:1"].xref == ["B:7", "C:8"] and got["A:2"].obsolete
     (tmp_path / "d.sql").write_text("-- x\nCOPY public.t (a, b) FROM stdin;\n1\tx\\ty\n2\t\\N\n\\.\n\nCOPY public.u (a) FROM stdin;\n9\n\\.\n")
     assert pairs(readers.dump_table(spark, str(tmp_path / "d.sql"), "t", ["b", "a"]), "a", "b") == {("1", "x\ty"), ("2", None)}
+    # one split a line, escapes from left to right, a block that spans splits
+    body = "".join(f"{k}\ta\\\\tb\n" for k in range(50))
+    (tmp_path / "e.sql").write_text("COPY public.u (a) FROM stdin;\n7\n\\.\nCOPY public.t (a, b) FROM stdin;\n" + body + "\\.\n9\tno\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    got = readers.dump_table(spark, str(tmp_path / "e.sql"), "t", ["a", "b"])
+    assert got.rdd.getNumPartitions() > 4 and pairs(got, "a", "b") == {(str(k), "a\\tb") for k in range(50)}
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
     (tmp_path / "e.json").write_text('{"rows": [{"a": "1"}, {"a": null}]}')
     assert pairs(readers.enveloped(spark, str(tmp_path / "e.json"), "a string"), "a") == {("1",), (None,)}
     (tmp_path / "m.tsv").write_text("#head\nsubject_id\tp\tobject_id\ta\tb\tc\nX:1\tp\tY:2\t\t\t\n")
@@ -147,6 +167,11 @@ def test_literals_and_axioms(spark):
     axiom = 'SubClassOf(:1 ObjectIntersectionOf(:2 ObjectSomeValuesFrom(:609096000 ObjectIntersectionOf(ObjectSomeValuesFrom(:10 :20) DataHasValue(:11 "5"^^xsd:decimal)))))'
     got = spark.createDataFrame([(axiom,)], "a string").select(F.explode(readers.axiom_groups(F.col("a"))).alias("g")).select("g.*")
     assert pairs(got, "grp", "attribute", "value") == {(1, "10", "20"), (1, "11", "5")}
+    axiom = "SubClassOf(:1 ObjectIntersectionOf(:2 ObjectSomeValuesFrom(:609096000 ObjectSomeValuesFrom(:10 :20)) ObjectSomeValuesFrom(:30 :40) ObjectSomeValuesFrom(:609096000 ObjectIntersectionOf(ObjectSomeValuesFrom(:11 :21) ObjectSomeValuesFrom(:12 :22)))))"
+    got = spark.createDataFrame([(axiom,), (None,)], "a string").select(F.explode(readers.axiom_groups(F.col("a"))).alias("g")).select("g.*")
+    assert pairs(got, "grp", "attribute", "value") == {(1, "10", "20"), (0, "30", "40"), (2, "11", "21"), (2, "12", "22")}
+    big = spark.createDataFrame([("#1000000000000000",), ("#0.00000001",), ("#x",)], "x string").select("x", readers.literal(F.col("x")).alias("v"))
+    assert {(r.x, r.v.value_num) for r in big.collect()} == {("#1000000000000000", 1e15), ("#0.00000001", 1e-8), ("#x", None)}
 
 
 def test_streaming_ledger(spark, tmp_path):

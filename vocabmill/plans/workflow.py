@@ -62,7 +62,7 @@ def transcription_check(s, d):
     return t(s, d, "customer").select("c_custkey", (F.size(F.array_except(stated, source)) == 0).alias("verified"))
 
 
-@query("""WITH p AS (SELECT p_partkey, p_name, p_size, CASE WHEN p_size % 5 > 0 THEN p_type END AS method, CASE WHEN p_partkey % 2 = 0 THEN 'mass' ELSE 'molar' END AS kind FROM part WHERE p_partkey < 400)
+@query("""WITH p AS (SELECT p_partkey, p_name, p_size, CASE WHEN p_size % 5 > 0 THEN p_type END AS method, CASE WHEN p_partkey % 2 = 0 THEN 'mass' ELSE 'molar' END AS kind FROM part)
     SELECT a.p_partkey AS mass, b.p_partkey AS molar, round(10.0::DOUBLE / a.p_size, 6) AS factor FROM p a JOIN p b ON a.p_name = b.p_name AND a.method IS NOT DISTINCT FROM b.method WHERE a.kind = 'mass' AND b.kind = 'molar'""")
 def unit_pairs(s, d):
     """Mass and molar twins agree on all axes; the method may be null on both."""
@@ -180,7 +180,7 @@ def underverified(s, d):
     return a.where(share < 0.5).withColumn("place", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(share, "source")))
 
 
-@query("""WITH a AS (SELECT l_orderkey AS cui, CASE l_linestatus WHEN 'O' THEN 'A' ELSE 'B' END AS v, l_partkey AS code, p_name AS name FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_orderkey < 3000),
+@query("""WITH a AS (SELECT l_orderkey AS cui, CASE l_linestatus WHEN 'O' THEN 'A' ELSE 'B' END AS v, l_partkey AS code, p_name AS name FROM lineitem JOIN part ON p_partkey = l_partkey),
     b AS (SELECT DISTINCT cui, v, code, array_to_string(list_sort(string_split(name, ' ')), ' ') AS n FROM a)
     SELECT x.cui, x.code AS sc, y.code AS oc, bool_or(x.n = y.n) AS same_name FROM b x JOIN b y ON x.cui = y.cui AND x.v < y.v GROUP BY 1, 2, 3""")
 def shared_concept_pairs(s, d):
@@ -191,7 +191,7 @@ def shared_concept_pairs(s, d):
     return x.join(y, "cui").groupBy("cui", "sc", "oc").agg(F.bool_or(F.col("n1") == F.col("n2")).alias("same_name"))
 
 
-@query("""WITH o AS (SELECT o_custkey, count(*) AS groups, bool_or(o_orderpriority LIKE '1%') AS conditional FROM (SELECT DISTINCT o_custkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderkey % 7 = 0) GROUP BY 1)
+@query("""WITH o AS (SELECT o_custkey, count(*) AS groups, bool_or(o_orderpriority LIKE '1%') AS conditional FROM (SELECT DISTINCT o_custkey, o_orderstatus, o_orderpriority FROM orders) GROUP BY 1)
     SELECT o_custkey, n_name FROM o JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey WHERE groups = 1 AND NOT conditional""")
 def single_group_chain(s, d):
     """Chained only where a source has one group, and that one without a condition."""

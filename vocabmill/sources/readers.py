@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,41 +60,98 @@ def obo(spark: SparkSession, path: str) -> DataFrame:
     ).withColumn("obsolete", F.coalesce("_o", F.lit(False))).drop("_o")
 
 
-def dump_table(spark: SparkSession, path: str, table: str, columns: list[str]) -> DataFrame:
-    """Rows of one table in a plain database dump (``COPY t (c, ...) FROM stdin;`` ... ``\\.``); \\N is null, escapes are undone.
+_COPY = re.compile(r"COPY (?:\w+\.)?\"?(\w+)\"? \(([^)]*)\) FROM stdin;$")
+#: Escapes of a dump's cells.
+_ESCAPES = {"b": "\b", "f": "\f", "n": "\n", "r": "\r", "t": "\t", "v": "\v"}
 
-    A block is one record between COPY lines, so blocks are read apart from each other.
-    """
-    block = spark.read.option("lineSep", "\nCOPY ").text(path)
-    head = f"^(?:COPY )?(?:public\\.)?{table} \\(([^)]*)\\) FROM stdin;"
-    rows = block.where(F.col("value").rlike(head)).select(F.split(F.regexp_extract("value", head, 1), ",\\s*").alias("names"), F.explode(F.split(F.expr("substring_index(substring(value, instr(value, 'FROM stdin;') + 12), '\\n\\\\.', 1)"), "\n")).alias("line"))
-    cells = rows.where("line <> ''").withColumn("cells", F.split("line", "\t"))
 
-    def cell(name: str):
-        raw = F.element_at("cells", F.array_position("names", name).cast("int"))
-        plain = raw
-        for old, new in (("\\\\t", "\t"), ("\\\\n", "\n"), ("\\\\r", "\r"), ("\\\\\\\\", "\\\\")):
-            plain = F.regexp_replace(plain, old, new)
-        return F.when(raw != "\\N", plain).alias(name)
+def unescaped(cell: str) -> str | None:
+    """A dump's cell, its escapes undone from left to right; ``\\N`` is null."""
+    return None if cell == "\\N" else re.sub(r"\\(.)", lambda m: _ESCAPES.get(m[1], m[1]), cell, flags=re.S) if "\\" in cell else cell
+
 
-    return cells.select(*map(cell, columns))
+def dump_table(spark: SparkSession, path: str, table: str, columns: list[str]) -> DataFrame:
+    """Rows of one table in a plain database dump (``COPY t (c, ...) FROM stdin;`` ... ``\\.``).
+
+    Lines are read in the file's splits, so any number of tasks share a large table. A first pass finds the few lines that open and end
+    blocks (as many as the dump has tables); with them every split knows in which block it begins.
+    """
+    text = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+
+    def edges(batches):
+        for batch in batches:
+            rows = zip(*(batch.column(c).to_pylist() for c in ("value", "file", "at")), strict=True)
+            found = [(f, a, v) for v, f, a in rows if v == "\\." or v.startswith("COPY ")]
+            yield pa.record_batch({"file": pa.array([x[0] for x in found], pa.string()), "at": pa.array([x[1] for x in found], pa.int64()), "value": pa.array([x[2] for x in found], pa.string())})
+
+    begun, state = {}, {}  # (file, split) -> the line that its first line stands under
+    splits = {}
+    for r in text.mapInArrow(edges, "file string, at bigint, value string").collect():  # in the order of the splits' lines
+        splits.setdefault((r.file, r.at), []).append(r.value)
+    for r in text.select("file", "at").distinct().orderBy("file", "at").collect():  # a row a split
+        begun[r.file, r.at] = state.get(r.file, "")
+        state[r.file] = splits.get((r.file, r.at), [state.get(r.file, "")])[-1]
+
+    def rows(batches):
+        here, place = None, None
+        for batch in batches:
+            out = [[] for _ in columns]
+            for value, file, at in zip(*(batch.column(c).to_pylist() for c in ("value", "file", "at")), strict=True):
+                if (file, at) != here:
+                    here, place = (file, at), places(begun.get((file, at), ""))
+                if value == "\\." or value.startswith("COPY "):
+                    place = places(value)
+                elif place is not None:
+                    cells = value.split("\t")
+                    for k, j in enumerate(place):
+                        out[k].append(unescaped(cells[j]) if j is not None and j < len(cells) else None)
+            yield pa.record_batch([pa.array(x, pa.string()) for x in out], names=columns)
+
+    def places(line: str) -> list[int | None] | None:
+        m = _COPY.match(line)
+        if not m or m[1] != table:
+            return None
+        names = [x.strip(' "') for x in m[2].split(",")]
+        return [names.index(c) if c in names else None for c in columns]
+
+    return text.mapInArrow(rows, strings(columns))
+
+
+_PART = re.compile(r"(ObjectSomeValuesFrom\(:609096000 )|([A-Za-z]+)\(|(\))|(?<=[(])?:(\d+) (?::(\d+)|\"([^\"]*)\")")
+
+
+def _groups(axiom: str | None) -> list[dict]:
+    """One walk over the brackets: a role group is open until its own bracket closes."""
+    out, depth, group, opened = [], 0, 0, []
+    for m in _PART.finditer(axiom or ""):
+        if m[1]:
+            depth, group = depth + 1, group + 1
+            opened.append((depth, group))
+        elif m[2]:
+            depth += 1
+        elif m[3]:
+            if opened and opened[-1][0] == depth:
+                opened.pop()
+            depth -= 1
+        elif m[4]:
+            out.append({"grp": opened[-1][1] if opened else 0, "attribute": m[4], "value": m[5] if m[5] is not None else m[6]})
+    return out
 
 
 def axiom_groups(axiom):
-    """Role groups of a functional-syntax axiom: array of (group, attribute, value) for its plain and concrete restrictions.
+    """Role groups of a functional-syntax axiom: array of (grp, attribute, value) for its plain and concrete restrictions.
 
-    A group is an ``ObjectSomeValuesFrom(:609096000 ...)``; restrictions outside groups have group 0.
+    A group is an ``ObjectSomeValuesFrom(:609096000 ...)`` up to the bracket that closes it; restrictions outside groups have group 0.
     """
-    part = "(?:ObjectSomeValuesFrom\\(:(\\d+) :(\\d+)\\)|DataHasValue\\(:(\\d+) \"([^\"]*)\"[^)]*\\))"
-    groups = F.split(axiom, "ObjectSomeValuesFrom\\(:609096000 ")
-    pairs = lambda g, k: F.transform(F.regexp_extract_all(g, F.lit(part), 0), lambda x: F.struct(k.alias("grp"), F.regexp_extract(x, ":(\\d+)", 1).alias("attribute"), F.coalesce(F.nullif(F.regexp_extract(x, " :(\\d+)\\)", 1), F.lit("")), F.regexp_extract(x, '"([^"]*)"', 1)).alias("value")))
-    return F.flatten(F.transform(groups, lambda g, k: pairs(g, k)))
+    read = F.pandas_udf(lambda x: x.map(_groups), "array<struct<grp int, attribute string, value string>>")
+    return read(axiom)
 
 
 def literal(raw):
-    """(datatype, value_num, value_str) of ``#3``, ``#12.5`` or ``"text"``."""
-    kind = F.when(raw.startswith('"'), "string").when(raw.rlike("^#-?\\d+\\.\\d+$"), "decimal").otherwise("integer")
-    return F.struct(kind.alias("datatype"), F.when(kind != "string", F.try_to_number(F.ltrim(raw, F.lit("#")), F.lit("S999999999999.999999")).cast("double")).alias("value_num"), F.when(kind == "string", F.trim(raw, F.lit('"'))).alias("value_str"))
+    """(datatype, value_num, value_str) of ``#3``, ``#12.5`` or ``"text"``; a number of any size."""
+    text = raw.startswith('"')
+    kind = F.when(text, "string").when(raw.rlike("^#.*\\.."), "decimal").otherwise("integer")
+    return F.struct(kind.alias("datatype"), F.when(raw.startswith("#"), F.substr(raw, F.lit(2)).try_cast("double")).alias("value_num"), F.when(text, F.trim(raw, F.lit('"'))).alias("value_str"))
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
