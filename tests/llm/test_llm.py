@@ -4,6 +4,7 @@ import base64
 import gzip
 import hashlib
 import io
+import itertools
 import random
 import re
 import zlib
@@ -359,13 +360,18 @@ def test_max_plus_is_associative():
 
 
 def test_passages(spark):
-    long = "One two three four five six seven eight nine. Ten eleven twelve e thirteen fourteen fifteen sixteen seventeen eighteen!"
-    texts = [f"Intro here. {long} End.", f"Other é words {long.upper()}\nshort one. tail", None, "", "a b. a b. a b.", long]
-    got = sorted((r.doc_id, r.start, r.end, r.kept_doc_id, r.kept_start) for r in passages.repeats(docs(spark, texts, True)).collect())
+    long = "One two three four five six seven eight nine. Aye! Ten eleven twelve e thirteen fourteen fifteen sixteen seventeen eighteen!"
+    texts = [f"Intro here. {long} End.", f"Other é words {long.upper()}\nshort one. tail", None, "", "a b. a b. a b.", long, "x" + " w" * 30000, long]
+    d = docs(spark, texts, True).withColumn("_id", F.lit("own"))
+    assert {r._id for r in passages.dedup(d, 8, name="t").collect()} == {"own"}
+    got = sorted((r.doc_id, r.start, r.end, r.kept_doc_id, r.kept_start) for r in passages.repeats(docs(spark, texts, True), 8).collect())
     raw = [(t or "").encode() for t in texts]
-    assert [(d, raw[d][a:b].decode()[:3], k) for d, a, b, k, _ in got] == [(1, "TEN", 0), (5, "One", 0), (5, "Ten", 0)]
-    out = by_id(passages.dedup(docs(spark, texts), name="t"), "text", "removed")
-    assert out[1][0] == "Other é words ONE TWO THREE FOUR FIVE SIX SEVEN EIGHT NINE. \nshort one. tail" and len(out[1][1]) == 1
+    assert [(d, raw[d][a:b].decode()[:3], k) for d, a, b, k, _ in got] == [(1, "AYE", 0), (1, "TEN", 0)] + [(k, x, 0) for k in (5, 7) for x in ("One", "Aye", "Ten")]
+    assert {r.doc_id for r in passages.repeats(docs(spark, texts)).collect()} == {5, 7}  # 12 words of the second text are too few
+    twice = spark.createDataFrame([(1, "a b c d."), (2, "a b c d."), (2, "a b c d."), (None, "a b c d.")], DOCS)
+    assert [(r.doc_id, r.kept_doc_id) for r in passages.repeats(twice, 4).collect()] == [(1, None), (2, None), (2, None)] and not passages.repeats(twice, 5).count()
+    out = by_id(passages.dedup(docs(spark, texts), 8, name="t"), "text", "removed")
+    assert out[1][0] == "Other é words ONE TWO THREE FOUR FIVE SIX SEVEN EIGHT NINE.  \nshort one. tail" and len(out[1][1]) == 2
     assert out[3] == ("", None) and out[4][0] == texts[4] and out[2] == (None, None)
     assert passages.repeats(docs(spark, [])).count() == 0
 
@@ -378,24 +384,26 @@ def test_passages_brute(spark):
     for doc_id, text in zip(d.doc_id, d.text, strict=True):
         raw = (text or "").encode()
         low = bytes(c + 32 if 65 <= c <= 90 else c for c in raw)
-        unit = []
+        unit, seen = [], []
         found = list(re.finditer(rb"[0-9a-z\x80-\xff]+", low))
         for k, m in enumerate(found):
             gap = raw[found[k - 1].end() : m.start()] if k else b""
             if k and re.search(rb"\n|[.!?][ \t-\r]", gap):
-                unit = close(unit, doc_id, first, want)
+                unit = close(unit, doc_id, first, seen)
             unit.append((m.start(), m.end(), m[0]))
-        close(unit, doc_id, first, want)
+        if unit:
+            close(unit, doc_id, first, seen)
+        for repeated, run in itertools.groupby(seen, key=lambda x: x is not None):
+            run = list(run)
+            if repeated and sum(x[2] for x in run) >= 20:
+                want |= set(run)
     assert {(r.doc_id, r.start, r.n_words, r.kept_doc_id, r.kept_start) for r in QUERIES["op7_passages"](spark, SF).collect()} == want and want
 
 
-def close(unit, doc_id, first, want):
+def close(unit, doc_id, first, found):
     key = tuple(w for _, _, w in unit)
-    if len(key) >= passages.MIN_WORDS:
-        if key in first:
-            want.add((doc_id, unit[0][0], len(key), *first[key]))
-        else:
-            first[key] = (doc_id, unit[0][0])
+    found.append((doc_id, unit[0][0], len(key), *first[key]) if key in first else None)
+    first.setdefault(key, (doc_id, unit[0][0]))
     return []
 
 
