@@ -63,7 +63,7 @@ def units(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for part, data, offsets in runs(batch, "text"):
                 owner, start, end, n, h1, h2 = unit_spans(data, offsets)
-                rows = part.take(pa.array(owner))
+                rows = part.select(["doc_id", "text_key"]).take(pa.array(owner))
                 unit = np.arange(len(owner)) - np.searchsorted(owner, owner)
                 yield pa.record_batch({"doc_id": rows.column("doc_id"), "text_key": rows.column("text_key"), "unit": unit, "start": start, "end": end, "n_words": n, "h1": h1, "h2": h2})
 
