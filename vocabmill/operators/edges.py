@@ -17,34 +17,39 @@ TIERS = ["1", "2", "3", "inadmissible", "ungraded", "native", "decision"]
 STATES = ["asserted", "corrected_pending_attestation", "attested", "rejected"]
 
 
+def _column(x: Column | str | None) -> Column:
+    return x if isinstance(x, Column) else F.lit(x).cast("string")
+
+
 @dataclass
 class Loader:
-    """An edge family: its rows, the conditions that keep a row (with the reason why others go), and its constants."""
+    """An edge family: its rows, the conditions that keep a row (with the reason why others go), and its constants.
+
+    Vocabularies, predicate, source, place (where in the source), method, tier and state are texts, or columns where rows differ.
+    """
 
     name: str
     rows: DataFrame
-    subject: tuple[str, Column]
+    subject: tuple[Column | str, Column]
     predicate: Column | str
-    object: tuple[str, Column]
-    source: str
+    object: tuple[Column | str, Column]
+    source: Column | str
     keep: list[tuple[str, Column]] = field(default_factory=list)
-    method: str = "native"
-    tier: str = "native"
-    state: str = "asserted"
+    method: Column | str = "native"
+    tier: Column | str = "native"
+    state: Column | str = "asserted"
     pin: str = ""
     attrs: Column | None = None
     distinct: bool = True
+    place: Column | str | None = None
 
     def edges(self) -> DataFrame:
         kept = self.rows
         for _, condition in self.keep:
             kept = kept.where(condition)
-        predicate = F.lit(self.predicate) if isinstance(self.predicate, str) else self.predicate
-        out = kept.select(
-            F.lit(self.subject[0]).alias("s_vocab"), self.subject[1].cast("string").alias("s_code"), predicate.alias("predicate"), F.lit(self.object[0]).alias("o_vocab"),
-            self.object[1].cast("string").alias("o_code"), F.lit(self.source).alias("source"), F.lit(self.name).alias("source_locator"), F.lit(self.method).alias("method"),
-            F.lit(self.tier).alias("tier"), F.lit(self.state).alias("state"), F.lit(self.pin).alias("pin"), (self.attrs if self.attrs is not None else F.lit(None).cast("string")).alias("attrs"),
-        )
+        place = self.name if self.place is None else self.place
+        values = [self.subject[0], self.subject[1].cast("string"), self.predicate, self.object[0], self.object[1].cast("string"), self.source, place, self.method, self.tier, self.state, self.pin, self.attrs]
+        out = kept.select(*[_column(v).alias(c) for c, v in zip(EDGE, values, strict=True)])
         return out.distinct() if self.distinct else out
 
     def ledger(self) -> DataFrame:
@@ -60,6 +65,30 @@ class Loader:
         return row.select(F.lit(self.name).alias("loader"), F.explode(F.array(*steps)).alias("s")).select("loader", "s.step", "s.reason", "s.rows")
 
 
+def balance(loaders: list[Loader]) -> DataFrame:
+    """loader, available, excluded, loaded, residual, rows: what is left between rows kept and edges loaded is named, never absorbed."""
+    out = None
+    for x in loaders:
+        kept = F.lit(True)
+        for _, condition in x.keep:
+            kept = kept & F.coalesce(condition, F.lit(False))
+        counts = x.rows.agg(F.count(F.lit(1)).alias("available"), F.count_if(kept).alias("kept")).join(x.edges().agg(F.count(F.lit(1)).alias("loaded")))  # two single rows
+        left = F.col("kept") - F.col("loaded")
+        name = F.when(left > 0, "collapsed").when(left < 0, "fanned out").otherwise("none")
+        row = counts.select(F.lit(x.name).alias("loader"), "available", (F.col("available") - F.col("kept")).alias("excluded"), "loaded", name.alias("residual"), F.abs(left).alias("rows"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def gate(inputs, required: list[str], allowed: list[str] = ()) -> list[str]:
+    """The required inputs that are missing and allowed to be; any other missing one is refused."""
+    missing = [x for x in required if x not in inputs]
+    refused = [x for x in missing if x not in allowed and "all" not in allowed]
+    if refused:
+        raise FileNotFoundError(f"inputs missing: {', '.join(refused)}")
+    return missing
+
+
 def build(loaders: list[Loader]) -> DataFrame:
     out = None
     for x in loaders:

@@ -47,7 +47,7 @@ def xml(spark: SparkSession, path: str, row_tag: str, schema: str) -> DataFrame:
 
 
 def obo(spark: SparkSession, path: str) -> DataFrame:
-    """id, name, is_a[], xref[], relationship[], obsolete of an ontology's terms.
+    """id, name, is_a[], xref[], xref_line[] (with annotations), relationship[], obsolete of an ontology's terms.
 
     The file is read in stanzas (blank-line separated records), so any number of tasks can share a file.
     """
@@ -55,7 +55,7 @@ def obo(spark: SparkSession, path: str) -> DataFrame:
     one = lambda tag: F.nullif(F.regexp_extract("value", f"(?m)^{tag}: ([^\\n]*)$", 1), F.lit(""))
     each = lambda tag, rest: F.regexp_extract_all("value", F.lit(f"(?m)^{tag}: {rest}"), 1)
     return stanza.select(
-        one("id").alias("id"), one("name").alias("name"), each("is_a", "(\\S+)").alias("is_a"), each("xref", "(\\S+)").alias("xref"),
+        one("id").alias("id"), one("name").alias("name"), each("is_a", "(\\S+)").alias("is_a"), each("xref", "(\\S+)").alias("xref"), each("xref", "([^\\n]+)").alias("xref_line"),
         each("relationship", "([^!\\n]*[^! \\n])").alias("relationship"), (one("is_obsolete") == "true").alias("_o"),
     ).withColumn("obsolete", F.coalesce("_o", F.lit(False))).drop("_o")
 
