@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,17 @@ def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_KEPT: dict[tuple[str, str, str], object] = {}
+
+
+def kept(spark: SparkSession, d: str, name: str, make: Callable[[], object]):
+    """What ``make`` gives for the tables of ``d``, made once in an application: an edition is built once and queried many times."""
+    key = (spark.sparkContext.applicationId, d, name)
+    if key not in _KEPT:
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
 def isa_tree(spark: SparkSession, d: str) -> DataFrame:
     """child, parent: customer k under k / 10."""
     return t(spark, d, "customer").where("c_custkey > 0").select(F.col("c_custkey").alias("child"), F.expr("c_custkey div 10").alias("parent"))

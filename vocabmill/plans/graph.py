@@ -8,7 +8,8 @@ from ..operators import components as C
 from ..operators import ecl as L
 from ..operators import edges as G
 from ..operators import hierarchy as H
-from .base import SQL_EDGE, SQL_POLY, SQL_RING, SQL_TREE, edge, isa_poly, isa_tree, loaders, ring, t
+from ..operators.storage import stored
+from .base import SQL_EDGE, SQL_POLY, SQL_RING, SQL_TREE, edge, isa_poly, isa_tree, loaders, ring, t, kept
 
 QUERIES, ORACLES = {}, {}
 
@@ -231,14 +232,18 @@ _REL = f"""(SELECT child AS source, parent AS target, 0 AS type, 0::BIGINT AS gr
 
 
 def edition(s, d) -> L.Edition:
-    """Customers as concepts under two parents; orders as attributes 1 to 3 in groups 0 to 4; reference sets by segment."""
-    c = t(s, d, "customer")
-    concept = c.select(F.col("c_custkey").alias("id"), (F.col("c_acctbal") >= 0).alias("active"), F.col("c_name").alias("term"))
-    isa = isa_poly(s, d)
-    o = t(s, d, "orders").select(F.col("o_custkey").alias("source"), F.expr("o_custkey div 4").alias("target"), (1 + F.col("o_orderkey") % 3).cast("int").alias("type"), (F.col("o_orderkey") % 5).alias("grp")).distinct()
-    r = isa.select(F.col("child").alias("source"), F.col("parent").alias("target"), F.lit(0).alias("type"), F.lit(0).cast("long").alias("grp")).union(o)
-    member = c.where("c_mktsegment = 'MACHINERY'").select(F.lit(7).alias("refset"), F.col("c_custkey").alias("id"))
-    return L.Edition(concept, r, H.closure(isa), concept.select("id", "term"), member)
+    """Customers as concepts under two parents; orders as attributes 1 to 3 in groups 0 to 4; reference sets by segment. Written once."""
+
+    def make() -> L.Edition:
+        c = t(s, d, "customer")
+        concept = c.select(F.col("c_custkey").alias("id"), (F.col("c_acctbal") >= 0).alias("active"), F.col("c_name").alias("term"))
+        isa = isa_poly(s, d)
+        o = t(s, d, "orders").select(F.col("o_custkey").alias("source"), F.expr("o_custkey div 4").alias("target"), (1 + F.col("o_orderkey") % 3).cast("int").alias("type"), (F.col("o_orderkey") % 5).alias("grp")).distinct()
+        r = isa.select(F.col("child").alias("source"), F.col("parent").alias("target"), F.lit(0).alias("type"), F.lit(0).cast("long").alias("grp")).union(o)
+        member = c.where("c_mktsegment = 'MACHINERY'").select(F.lit(7).alias("refset"), F.col("c_custkey").alias("id"))
+        return L.Edition(stored(concept, "concept"), stored(r, "relationship"), stored(H.closure(isa), "closure"), concept.select("id", "term"), member)
+
+    return kept(s, d, "edition", make)
 
 
 def _ecl(text: str, sql: str, name: str):
@@ -263,3 +268,7 @@ _ecl("<< 12 . 2", f"SELECT DISTINCT target AS id FROM q WHERE type = 2 AND sourc
 _ecl('<< 1 {{ term = ("00000012" "customer 0000001") }}', f"SELECT id FROM c WHERE id IN {_UNDER.format(1)} AND (regexp_matches(lower(term), '(^|[^a-z0-9])00000012') OR (regexp_matches(lower(term), '(^|[^a-z0-9])customer') AND regexp_matches(lower(term), '(^|[^a-z0-9])0000001')))", "ecl_term")
 _ecl("<< 12 OR << 13 : 1 = *", f"SELECT DISTINCT source AS id FROM q WHERE type = 1 AND (source IN {_UNDER.format(12)} OR source IN {_UNDER.format(13)})", "ecl_compound")
 _ecl("^ 7 AND * : * = << 2", f"SELECT c_custkey AS id FROM customer WHERE c_mktsegment = 'MACHINERY' AND c_acctbal >= 0 AND c_custkey IN (SELECT source FROM q WHERE type <> 0 AND target IN {_UNDER.format(2)})", "ecl_members")
+_ecl("<! (12 OR 13)", "SELECT DISTINCT source AS id FROM q WHERE type = 0 AND target IN (12, 13)", "ecl_over_brackets")
+_ecl("<< ^ 7", "SELECT c_custkey AS id FROM customer WHERE c_mktsegment = 'MACHINERY' UNION SELECT descendant FROM r WHERE ancestor IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'MACHINERY')", "ecl_over_members")
+_ecl("<< 1 : 1 = << 3 OR 2 = << 4", f"SELECT DISTINCT source AS id FROM q WHERE source IN {_UNDER.format(1)} AND ((type = 1 AND target IN {_UNDER.format(3)}) OR (type = 2 AND target IN {_UNDER.format(4)}))", "ecl_or_refinement")
+_ecl("<< 1 : << 1 = << 3, < 0 = *", f"SELECT DISTINCT source AS id FROM q WHERE source IN {_UNDER.format(1)} AND type IN {_UNDER.format(1)} AND target IN {_UNDER.format(3)} INTERSECT SELECT source FROM q WHERE type IN (SELECT descendant FROM r WHERE ancestor = 0)", "ecl_attribute_names")

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from ..functions import stats as S
 from ..operators import hierarchy as H
 from ..operators import quality as Q
-from .base import SQL_EDGE, SQL_TREE, edge, isa_tree, t
+from ..operators.edges import balance
+from ..operators.storage import stored
+from .base import SQL_EDGE, SQL_TREE, edge, isa_tree, t, kept, loaders
 
 QUERIES, ORACLES = {}, {}
 
@@ -142,6 +144,22 @@ def salt_base(s, d):
     return m.groupBy("salt").agg(F.sum("n").alias("total"), F.max("n").alias("top"), F.count(F.lit(1)).alias("bases")).select("salt", "total", "top", v.alias("verdict"))
 
 
+@query("""SELECT count(*) AS n_hard, count(o) AS hard_fired, round(1 - count(o) / count(*), 4) AS hard_silence
+    FROM (SELECT c_custkey, (SELECT min(o_custkey) FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'P') AS o FROM customer WHERE c_acctbal < 0)""")
+def hard_silence(s, d):
+    answers = t(s, d, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("subject"))
+    return Q.hard_silence(answers, t(s, d, "customer").where("c_acctbal < 0").select(F.col("c_custkey").alias("subject")))
+
+
+_BALANCED = [("customer in nation", "c_custkey, c_nationkey", "customer", "c_acctbal >= 0 AND c_mktsegment <> 'FURNITURE'"), ("order contains part", "l_orderkey, l_partkey", "lineitem", "l_returnflag <> 'R'")]
+
+
+@query(" UNION ALL ".join(f"""SELECT '{name}' AS loader, available, available - kept AS excluded, loaded, CASE WHEN kept > loaded THEN 'collapsed' WHEN kept < loaded THEN 'fanned out' ELSE 'none' END AS residual, abs(kept - loaded) AS rows
+    FROM (SELECT count(*) AS available, count(*) FILTER (WHERE {keep}) AS kept, count(DISTINCT ({key})) FILTER (WHERE {keep}) AS loaded FROM {table})""" for name, key, table, keep in _BALANCED))
+def ledger_balance(s, d):
+    return balance([x for x in loaders(s, d) if x.name in [b[0] for b in _BALANCED]])
+
+
 # ---------------------------------------------------------------- concept model
 
 _USES = "SELECT o_custkey AS s, 1 + o_orderkey % 4 AS a, (o_custkey * 3 + o_orderkey) % 1500 AS o, o_orderkey % 3 AS grp FROM orders"
@@ -153,7 +171,7 @@ def _model(s, d):
     o = t(s, d, "orders")
     uses = o.select(F.col("o_custkey").alias("s"), (1 + F.col("o_orderkey") % 4).cast("int").alias("a"), ((F.col("o_custkey") * 3 + F.col("o_orderkey")) % 1500).alias("o"), (F.col("o_orderkey") % 3).alias("grp"))
     rules = s.createDataFrame([(1, 10, True, 0, None, 1, False), (1, 20, False, 0, 2, 1, False), (2, 10, True, 1, 3, None, True), (3, 20, True, 0, 1, 1, False)], "a int, domain int, grouped boolean, card_lo int, card_hi int, gcard_hi int, mandatory boolean")
-    closure = H.closure(isa_tree(s, d))
+    closure = kept(s, d, "tree closure", lambda: stored(H.closure(isa_tree(s, d)), "closure"))
     members = t(s, d, "customer").where("c_mktsegment = 'MACHINERY'").select(F.lit(9).cast("long").alias("refset"), F.col("c_custkey").alias("id"))
     flat = lambda key, text: [(key, op, focus) for op, focus in Q.terms(text)]
     domain = s.createDataFrame(flat(10, "<< 2 |two|") + flat(20, "< 3 OR ^ 9"), "key int, op string, focus bigint")

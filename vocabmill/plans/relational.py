@@ -308,3 +308,31 @@ def unit_scale(s, d):
     rows = [("g/dL", "g/L"), ("/uL", "10*9/L"), ("%", "L/L"), ("mg/dL", "mmol/L"), ("[IU]/L", "U/L"), ("mmHg", "mm[Hg]"), ("mg/L;g/L", "g/L"), ("", "g/L"), ("k[IU]/L", "kU/L")]
     u = s.createDataFrame(rows, "us string, au string").crossJoin(t(s, d, "nation").agg(F.count(F.lit(1)).alias("nations")))
     return u.select("us", "au", U.scale(F.col("us"), F.col("au")).alias("factor"), U.difference(F.col("us"), F.col("au")).alias("difference"), "nations")
+
+
+@query("""SELECT 'with null' AS kind, count(*) AS n FROM customer WHERE c_custkey NOT IN (SELECT CASE WHEN o_orderkey % 2 = 0 THEN o_custkey END FROM orders)
+    UNION ALL SELECT 'without', count(*) FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey % 2 = 0)""")
+def anti_not_in_null(s, d):
+    """NOT IN as SQL has it: one null on the right and nothing is left."""
+    c = t(s, d, "customer")
+    out = None
+    for kind, o in (("with null", t(s, d, "orders").select(F.when(F.col("o_orderkey") % 2 == 0, F.col("o_custkey")).alias("o"))), ("without", t(s, d, "orders").where("o_orderkey % 2 = 0").select(F.col("o_custkey").alias("o")))):
+        right = o.distinct()
+        nulls = right.agg(F.bool_or(F.col("o").isNull()).alias("any"))  # one row
+        left = c.join(right, F.col("c_custkey") == F.col("o"), "left_anti").join(F.broadcast(nulls)).where("not coalesce(any, false)")
+        row = left.agg(F.count(F.lit(1)).alias("n")).select(F.lit(kind).alias("kind"), "n")
+        out = row if out is None else out.union(row)
+    return out
+
+
+@query("SELECT * EXCLUDE (c_name, c_acctbal) FROM customer")
+def select_exclude(s, d):
+    return t(s, d, "customer").drop("c_name", "c_acctbal")
+
+
+@query("""SELECT c_nationkey, c_custkey, c_mktsegment FROM (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY CASE c_mktsegment WHEN 'MACHINERY' THEN 1 WHEN 'BUILDING' THEN 2 ELSE 9 END, c_custkey) AS k FROM customer) WHERE k = 1""")
+def dialect_row_number(s, d):
+    """The first by a list of preferences, then by id."""
+    place = F.coalesce(F.nullif(F.array_position(F.array(F.lit("MACHINERY"), F.lit("BUILDING")), F.col("c_mktsegment")), F.lit(0)), F.lit(9))
+    best = F.min(F.struct(place.alias("place"), "c_custkey", "c_mktsegment")).alias("m")
+    return t(s, d, "customer").groupBy("c_nationkey").agg(best).select("c_nationkey", "m.c_custkey", "m.c_mktsegment")
