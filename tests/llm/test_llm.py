@@ -443,6 +443,30 @@ def test_toxicity_held_out(spark):
     assert n.hit / n.p > 0.75 and n.false / (n.n - n.p) < 0.03
 
 
+def test_toxicity_pairs():
+    """A score is the bias, the weights of the document's distinct terms and the products of the factors of every two of them."""
+    texts = ["you awful lot", "Those people are awful, awful!", "", "nothing known here"]
+    data, offsets = common.buffers(pa.array(texts))
+    words = common.Words(data, offsets, common.ALNUM)
+    owner, term = toxicity.terms(words)
+    rng = np.random.default_rng(3)
+    ids = np.unique(term[owner < 2])[::2]
+    m = toxicity.Machine(ids, -0.3, rng.normal(size=len(ids)), rng.normal(size=(len(ids), 4)))
+    want = []
+    for i in range(len(texts)):
+        k = [int(np.flatnonzero(ids == x)[0]) for x in sorted(set(term[owner == i].tolist())) if x in ids]
+        z = -0.3 + sum(m.w[a] for a in k) + sum(float(m.v[a] @ m.v[b]) for n, a in enumerate(k) for b in k[:n])
+        want.append(1 / (1 + np.exp(-z)))
+    assert np.allclose(m.score(words), want) and len(set(want)) > 2
+
+
+def test_toxicity_repeats(spark):
+    d = docs(spark, ["you idiots", "you idiots", None, "", "x " * 200000], True)
+    m = toxicity.Machine(np.zeros(0, np.int64), -1.0, np.zeros(0), np.zeros((0, 4)))
+    got = toxicity.score(d, m).collect()
+    assert len(got) == 5 and len({r.score for r in got}) == 1 and {r.n_words for r in got} == {"x"}
+
+
 # ---------------------------------------------------------------- 9
 
 
@@ -587,3 +611,18 @@ def test_pipeline(spark):
         if name != c.STAGES[-1][0]:
             assert after.columns == c.COLUMNS
         before = after
+
+
+def test_pipeline_edges(spark):
+    """Nulls in every column, empty and repeated rows, an empty table and further columns pass through every stage."""
+    import corpus_pipeline as c
+
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, _id string, gone int, score double"
+    rows = [(1, None, None, None, None, "a", 1, 0.5), (2, "", "en", "s", 0, "a", 1, 0.5), (None, "a text of its own that nobody else has", "en", "s", 38, None, None, None), (3, "one two three four five six seven", "en", "s", 33, "a", 1, 0.5)]
+    docs_ = spark.createDataFrame(rows + rows[3:], schema)
+    for name, stage in c.STAGES:
+        after = common.stored(stage(spark, docs_, SF), "t")
+        kept = sorted((r.doc_id or 0) for r in after.collect())
+        assert kept in ([0, 1, 2, 3, 3],), (name, kept)
+        assert stage(spark, docs_.limit(0), SF).count() == 0
+        assert name == c.STAGES[-1][0] or after.columns == c.COLUMNS

@@ -144,6 +144,7 @@ def duplicates(docs: DataFrame, name: str = "lines", min_words: int = MIN_WORDS,
     own = every.select("doc_id", "line", "h1", "h2")
     group = own.groupBy("h1", "h2").agg(F.min(moment()).alias("first"), F.count(F.lit(1)).alias("k"))
     known = group.join(near, ["h1", "h2"], "left").where("k > 1 or near").select("h1", "h2", "first", "near")
+    known = stored(known, name)  # a written table, so that the join below may split a line that very many texts hold
     return own.join(known, ["h1", "h2"]).where(F.col("near") | (moment() > F.col("first"))).select("doc_id", "line").distinct()
 
 

@@ -71,12 +71,13 @@ def units(docs: DataFrame) -> DataFrame:
     return plain.mapInArrow(cut, "doc_id bigint, text_key bigint, unit bigint, start bigint, end bigint, n_words bigint, h1 bigint, h2 bigint")
 
 
-def repeats(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
+def repeats(docs: DataFrame, run_words: int = RUN_WORDS, name: str = "passages") -> DataFrame:
     """doc_id, start, end, n_words, kept_doc_id, kept_start: every unit that goes and the one that stays for it."""
     own = units(docs)
     # the order of units as one number, which hash aggregation can hold: doc_id (null first), then place
     moment = F.expr("cast(coalesce(cast(doc_id as decimal(20, 0)), cast('-9223372036854775809' as decimal(20, 0))) * cast(4294967296 as decimal(10, 0)) + cast(start as decimal(10, 0)) as decimal(32, 0))")
     first = own.groupBy("h1", "h2").agg(F.min(moment).alias("first"), F.count(F.lit(1)).alias("k")).where("k > 1").drop("k")
+    first = stored(first, name)  # a written table, so that the join below may split a unit that very many texts hold
     later = own.join(first, ["h1", "h2"]).where(moment > F.col("first"))
     text = Window.partitionBy("doc_id", "text_key")
     later = later.withColumn("run", F.col("unit") - F.dense_rank().over(text.orderBy("unit")))
@@ -93,7 +94,7 @@ def dedup(docs: DataFrame, run_words: int = RUN_WORDS, name: str = "passages") -
     docs = docs.drop("removed")
     moved = {c: f"_own_{c}" for c in docs.columns if c in ("_id", "_raw")}
     span = F.array_sort(F.collect_set(F.struct("start", "end")))
-    gone = stored(repeats(docs, run_words).groupBy(F.col("doc_id").alias("_id")).agg(span.alias("removed")), name)
+    gone = stored(repeats(docs, run_words, name).groupBy(F.col("doc_id").alias("_id")).agg(span.alias("removed")), name)
     both = docs.withColumnsRenamed(moved).join(gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left").withColumn("_raw", F.encode("text", "UTF-8"))
     # what stands before each span and after the last one, each byte taken once
     kept = """array_join(transform(concat(removed, array(named_struct('start', cast(octet_length(_raw) as bigint), 'end', cast(octet_length(_raw) as bigint)))),
