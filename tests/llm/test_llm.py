@@ -55,6 +55,18 @@ def test_words():
             assert [w.text(k).decode() for k in range(w.first[i], w.first[i + 1])] == re.findall(pattern, low)
 
 
+def test_own_columns_stay(spark):
+    """Columns that the operators name for themselves."""
+    import public_tokenizers
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    d = docs(spark, ["a b c " * 40, "one", None]).withColumn("_row", F.lit("mine"))
+    assert {r._row for r in pieces.encode(d, model, 16, merges=True).collect()} == {"mine"}
+    items = spark.createDataFrame([(1, "a b c a b c"), (2, "one")], "item_id bigint, text string")
+    got = decontaminate.scan(d.withColumn("_items", F.lit(7)), items, 3, 4).collect()
+    assert {(r._row, r._items) for r in got} == {("mine", 7)} and sorted(r.n_hit for r in got) == [0, 1, 120]
+
+
 @pytest.mark.parametrize("one_task", [0, 1 << 16])
 def test_components(spark, monkeypatch, one_task):
     monkeypatch.setattr(common, "ONE_TASK", one_task)
@@ -590,7 +602,7 @@ def test_pipeline(spark):
             m = toxicity.train(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text"), spark.read.parquet(f"{SF}/labels.parquet"))
             assert set(b) == {i for i, (x,) in by_id(toxicity.score(before, m), "score").items() if x < 0.7}
         elif name == "line dedup":
-            gone = brute_lines([a[i].text for i in order])
+            gone = brute_all_lines([a[i].text for i in order])
             for n, i in enumerate(order):
                 left = [x for k, x in enumerate((a[i].text or "").split("\n")) if (n, k) not in gone]
                 if "".join(left).strip() or not any(d == n for d, _ in gone):

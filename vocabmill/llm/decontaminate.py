@@ -209,12 +209,20 @@ def matched(docs: DataFrame, items: list[tuple[str | None, str | None]], window:
     return clean.mapInArrow(scan_batches, schema)
 
 
+FOUND_NAMES = ("n_words", "n_hit", "items", "spans")
+
+
 def scan(docs: DataFrame, items: DataFrame, window: int = WINDOW, most: int = MOST_WORDS) -> DataFrame:
     """``docs`` with n_words, n_hit, items (ids, sorted) and spans (bytes of the UTF-8 text, end exclusive).
 
     Columns of those names that ``docs`` has already are replaced.
     """
-    docs = docs.drop("n_words", "n_hit", "items", "spans")
+    docs, back = aside(docs.drop(*FOUND_NAMES), "_row", "_items", "_spans")
+    return scanned(docs, items, window, most).select(*back, *FOUND_NAMES)
+
+
+def scanned(docs: DataFrame, items: DataFrame, window: int, most: int) -> DataFrame:
+    """The same for ``docs`` without columns that the passes need for themselves."""
     parts = groups(items, most)
     if len(parts) == 1:
         return matched(docs, parts[0], window)

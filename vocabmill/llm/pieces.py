@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import hashes, runs, small_batches, stored, table
+from .common import aside, hashes, runs, small_batches, stored, table
 
 CHUNK = 1 << 16
 BYTE_SCORE = -100_000
@@ -337,7 +337,7 @@ def is_giant(chunk: int):
 def encode(docs: DataFrame, model: str, chunk: int = CHUNK, name: str = "pieces", merges: bool = False) -> DataFrame:
     """``docs`` with ``ids`` (array<int>) of the whole text, by merges or by the scan; a column of that name is replaced."""
     small_batches(docs.sparkSession, 500)
-    docs = docs.drop("ids", "_row").withColumn("text", F.col("text").cast("string"))
+    docs, back = aside(docs.drop("ids").withColumn("text", F.col("text").cast("string")), "_row")
     schema = T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -348,7 +348,8 @@ def encode(docs: DataFrame, model: str, chunk: int = CHUNK, name: str = "pieces"
                 column = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([*part.columns, column], names=[*part.schema.names, "ids"])
 
-    return docs.where(~is_giant(chunk)).mapInArrow(short, schema).union(giants(docs.where(is_giant(chunk)), model, chunk, name, merges).select(*docs.columns, "ids"))
+    coded = docs.where(~is_giant(chunk)).mapInArrow(short, schema).union(giants(docs.where(is_giant(chunk)), model, chunk, name, merges).select(*docs.columns, "ids"))
+    return coded.select(*back, "ids")
 
 
 def between_words(text: str, chunk: int) -> Iterator[str]:
