@@ -2,11 +2,17 @@
 
 Every stage takes (spark, docs, sf_dir) and works on all that the stage before it kept. Stages after the first read no results of
 earlier ones but their rows. Labels and benchmark items come from the tables beside the documents.
+
+Defined results, for every stage: columns beyond ``COLUMNS`` are dropped, whatever their names; an empty table gives an empty table; a
+null or empty text has no words, so nothing marks it and its row stays; rows that repeat each other meet the same fate, except that two lines
+or documents of one doc_id tie and both stay; a null doc_id stays a row of its own and, in the line stage, comes first; a text of any
+length is taken whole.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vocabmill.llm import decontaminate, jaccard, lines, pieces, toxicity
 from vocabmill.llm.common import stored, table
@@ -36,11 +42,13 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The ids of every whole text."""
+    """The ids of every whole text, and whether decoding them gives the text (a null text: the empty one) again."""
     import public_tokenizers
 
     model = public_tokenizers.path("piece_bpe_32k.model")
-    return pieces.encode(docs.select(*COLUMNS), model, name="pipeline-pieces", merges=pieces.by_merges(model)).drop("text")
+    coded = pieces.encode(docs.select(*COLUMNS), model, name="pipeline-pieces", merges=pieces.by_merges(model))
+    back = pieces.decode(coded, model)
+    return back.withColumn("round_trip", F.col("decoded") == F.coalesce("text", F.lit(""))).drop("text", "decoded")
 
 
 STAGES = [
