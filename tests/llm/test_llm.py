@@ -328,6 +328,8 @@ def test_pieces(spark, chunk):
     parts = ["the", "ing", " ", "  ", "\n", "é", "日本", "😀", "internationalization", "x", "     ", "\t", "Qz", "☃"]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(0, 60))) for _ in range(25)] + [None, "", " ", "a" * 300, "nospace" * 60, " " * 90]
     coded = pieces.encode(docs(spark, texts, True), path, chunk)
+    checked = by_id(pieces.encode(docs(spark, texts), path, chunk, check=True), "round_trip")
+    assert all(checked[i] == (True,) or pieces.BLANK in (t or "") for i, t in enumerate(texts))
     got = by_id(pieces.decode(coded, path), "ids", "decoded")
     for i, t in enumerate(texts):
         ids, back = got[i]

@@ -334,22 +334,40 @@ def is_giant(chunk: int):
     return F.coalesce(F.length("text"), F.lit(0)) > chunk
 
 
-def encode(docs: DataFrame, model: str, chunk: int = CHUNK, name: str = "pieces", merges: bool = False) -> DataFrame:
-    """``docs`` with ``ids`` (array<int>) of the whole text, by merges or by the scan; a column of that name is replaced."""
+def encode(docs: DataFrame, model: str, chunk: int = CHUNK, name: str = "pieces", merges: bool = False, check: bool = False) -> DataFrame:
+    """``docs`` with ``ids`` (array<int>) of the whole text, by merges or by the scan; a column of that name is replaced.
+
+    ``check`` adds ``round_trip``: whether decoding the ids gives the text (a null one: the empty text) again, found in the same pass.
+    """
     small_batches(docs.sparkSession, 500)
-    docs, back = aside(docs.drop("ids").withColumn("text", F.col("text").cast("string")), "_row")
+    docs, back = aside(docs.drop("ids", *(["round_trip"] if check else [])).withColumn("text", F.col("text").cast("string")), "_row")
     schema = T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(model, merges)
         for batch in batches:
             for part, data, offsets in runs(batch, "text"):
-                ids, n, _, _ = p.encode_run(data, offsets)
+                ids, n, text, cuts = p.encode_run(data, offsets)
                 column = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(ids))
-                yield pa.RecordBatch.from_arrays([*part.columns, column], names=[*part.schema.names, "ids"])
+                more = [pa.array(same_texts(p, ids, n, text, cuts), pa.bool_())] if check else []
+                yield pa.RecordBatch.from_arrays([*part.columns, column, *more], names=[*part.schema.names, "ids", *added])
+
+    added = ["round_trip"] if check else []
+    if check:
+        schema = schema.add("round_trip", T.BooleanType())
+    large = giants(docs.where(is_giant(chunk)), model, chunk, name, merges)
+    if check:
+        large = decode(large, model).withColumn("round_trip", F.col("decoded") == F.replace(F.coalesce("text", F.lit("")), F.lit(BLANK), F.lit(" ")))
+    coded = docs.where(~is_giant(chunk)).mapInArrow(short, schema).union(large.select(*docs.columns, "ids", *added))
+    return coded.select(*back, "ids", *added)
+
 
-    coded = docs.where(~is_giant(chunk)).mapInArrow(short, schema).union(giants(docs.where(is_giant(chunk)), model, chunk, name, merges).select(*docs.columns, "ids"))
-    return coded.select(*back, "ids")
+def same_texts(p: Pieces, ids: np.ndarray, n: np.ndarray, text: np.ndarray, cuts: np.ndarray) -> list[bool]:
+    """For each text of a run whether its ids stand for its bytes."""
+    back, size = p.decode_run(ids), np.concatenate([[0], np.cumsum(p.size[ids])])
+    at = size[np.concatenate([[0], np.cumsum(n)])]
+    whole = len(back) == len(text) and bool((back == text).all())
+    return [(whole and at[i] == cuts[i] and at[i + 1] == cuts[i + 1]) or bool(np.array_equal(back[at[i] : at[i + 1]], text[cuts[i] : cuts[i + 1]])) for i in range(len(n))]
 
 
 def between_words(text: str, chunk: int) -> Iterator[str]:
@@ -469,10 +487,7 @@ def round_trip(docs: DataFrame, model: str, chunk: int = CHUNK, name: str = "pie
             for part, data, offsets in runs(batch, "text"):
                 ids, n, text, cuts = p.encode_run(data, offsets)
                 ends = np.cumsum(n)
-                back, size = p.decode_run(ids), np.concatenate([[0], np.cumsum(p.size[ids])])
-                at = size[np.concatenate([[0], ends])]
-                whole = len(back) == len(text) and bool((back == text).all())
-                same = [(whole and at[i] == cuts[i] and at[i + 1] == cuts[i + 1]) or bool(np.array_equal(back[at[i] : at[i + 1]], text[cuts[i] : cuts[i + 1]])) for i in range(len(n))]
+                same = same_texts(p, ids, n, text, cuts)
                 raw = memoryview(ids.astype("<i4").tobytes())
                 crc = [zlib.crc32(raw[4 * (e - k) : 4 * e]) for k, e in zip(n.tolist(), ends.tolist(), strict=True)]
                 yield pa.record_batch({"doc_id": part.column("doc_id"), "n_ids": pa.array(n, pa.int64()), "ids_crc32": pa.array(crc, pa.int64()), "same_text": pa.array(same, pa.bool_())})
