@@ -12,7 +12,6 @@ length is taken whole.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from vocabmill.llm import decontaminate, jaccard, lines, pieces, toxicity
 from vocabmill.llm.common import stored, table
@@ -46,9 +45,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     model = public_tokenizers.path("piece_bpe_32k.model")
-    coded = pieces.encode(docs.select(*COLUMNS), model, name="pipeline-pieces", merges=pieces.by_merges(model))
-    back = pieces.decode(coded, model)
-    return back.withColumn("round_trip", F.col("decoded") == F.coalesce("text", F.lit(""))).drop("text", "decoded")
+    return pieces.encode(docs.select(*COLUMNS), model, name="pipeline-pieces", merges=pieces.by_merges(model), check=True).drop("text")
 
 
 STAGES = [
