@@ -295,6 +295,24 @@ in the Software without restriction"""
     assert [got[i][0] for i in range(5)] == ["mit-grant", "bsd-grant", "gpl,gpl-notice", "mit-grant", ""] and all(got[i][1] == 1 for i in range(4))
 
 
+@pytest.mark.parametrize("threshold", [0.5, 0.85, 1.0])
+def test_licenses_brute(spark, threshold):
+    """Every line and template that meet the threshold, and none besides, whatever the order of the words."""
+    rng = random.Random(4)
+    own = [t.split() for _, t in licenses.TEMPLATES]
+    line = lambda: " ".join(rng.sample(t := rng.choice(own), rng.randrange(len(t) // 2, len(t) + 1)) + rng.choices(["x", "License", "license", "of", "4", "9"], k=rng.randrange(4)))
+    texts = ["\n".join(line() for _ in range(rng.randrange(4))) for _ in range(60)]
+    got = licenses.template_join(docs(spark, texts), threshold=threshold).where("not wrapped").collect()
+    want = set()
+    for i, t in enumerate(texts):
+        for k, x in enumerate(t.split("\n")):
+            for label, template in licenses.TEMPLATES:
+                w = set(template.split())
+                if len(w & set(x.lower().split())) >= threshold * len(w) - 1e-9:
+                    want.add((i, k, label))
+    assert sorted((r.doc_id, r.block, r.label) for r in got) == sorted(want) and want
+
+
 # ---------------------------------------------------------------- 6
 
 

@@ -6,8 +6,8 @@ Blocks are lines, and for notices wrapped over lines each line with a prefix wor
 as the longest template has. What a line says of a template goes before what its surroundings say. A block and a template are sets of words. A block matches a template if it holds at least ``THRESHOLD`` of
 the template's words (containment). Template words are put in the order of how many documents hold them, rarest first, counted over
 the whole corpus. If ``need`` words must be common, one of the first ``n - need + 1`` words must be in the block (prefix
-filter), and the block must have ``need`` words (length filter). A positional filter would leave out nothing more, since
-a prefix word always has enough template words after it. What passes is verified exactly.
+filter). A block's own template words stand in the same order: there must be ``need`` of them (length filter), and as many must be
+left from the first common word on, in the block as in the template (positional filter). What passes is verified exactly.
 
 The templates are a fixed short list, so the table that is broadcast has a known size (a row for each prefix word).
 
@@ -88,11 +88,14 @@ def template_join(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
     lines = lines.withColumn("line", F.lower("line")).where(F.col("line").rlike(hit))
     lines = lines.select("doc_id", "key", "block", F.array_distinct(F.regexp_extract_all("line", F.lit(_WORD), 0)).alias("w"), F.lit(False).alias("wrapped"))
     lines = lines.union(surroundings(docs, hit, max((len(t.split()) for _, t in templates), default=0)))
-    met = lines.select("*", F.size("w").alias("size"), F.explode(F.array_intersect("w", F.array(*map(F.lit, starts)))).alias("word"))
-    met = met.join(F.broadcast(prefix), "word").where("size >= need")
-    common = F.size(F.array_intersect("w", "own"))
+    # of a block only the words of any template matter; an intersection keeps the order of its left side
+    ordered = F.array(*map(F.lit, sorted(count, key=lambda w: (count[w], w)))).cast("array<string>")
+    lines = lines.select("doc_id", "key", "block", "wrapped", F.array_intersect(ordered, "w").alias("v")).where(F.size("v") >= min((r[5] for r in rows), default=0))
+    met = lines.select("*", F.posexplode("v").alias("at", "word")).join(F.broadcast(prefix), "word")
+    met = met.where((F.size("v") >= F.col("need")) & (F.least(F.col("n") - F.col("place"), F.size("v") - F.col("at")) >= F.col("need")))
+    common = F.size(F.array_intersect("v", "own"))
     # a pair is verified at its first common word in the order only
-    earlier = F.size(F.array_intersect("w", F.expr("slice(own, 1, place)")))
+    earlier = F.size(F.array_intersect("v", F.expr("slice(own, 1, place)")))
     return met.where(earlier == 0).withColumn("common", common).where("common >= need").select("doc_id", "key", "block", "label", (F.col("common") / F.col("n")).alias("containment"), "wrapped")
 
 
