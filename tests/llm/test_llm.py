@@ -302,7 +302,10 @@ def test_licenses_brute(spark, threshold):
     own = [t.split() for _, t in licenses.TEMPLATES]
     line = lambda: " ".join(rng.sample(t := rng.choice(own), rng.randrange(len(t) // 2, len(t) + 1)) + rng.choices(["x", "License", "license", "of", "4", "9"], k=rng.randrange(4)))
     texts = ["\n".join(line() for _ in range(rng.randrange(4))) for _ in range(60)]
-    got = licenses.template_join(docs(spark, texts), threshold=threshold).where("not wrapped").collect()
+    d = docs(spark, texts)
+    count = licenses.order_of(licenses.base_scan(d), licenses.TEMPLATES)
+    assert count["license"] == sum("license" in t.lower().split() for t in texts)
+    got = licenses.template_join(d, count, threshold=threshold).where("not wrapped").collect()
     want = set()
     for i, t in enumerate(texts):
         for k, x in enumerate(t.split("\n")):

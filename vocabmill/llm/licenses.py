@@ -21,7 +21,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import stored, table
 
 #: Phrases and labels of the base scan.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -45,10 +45,16 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(_WORD), 0)
 
 
-def base_scan(docs: DataFrame) -> DataFrame:
-    """doc_id, key, n_words, n_base, first_word, last_word, base_labels (array): places of the phrases in the word sequence."""
+def vocabulary(templates: list[tuple[str, str]]) -> list[str]:
+    return sorted({w for _, t in templates for w in t.split()})
+
+
+def base_scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
+    """doc_id, key, n_words, n_base, first_word, last_word, base_labels (array): places of the phrases in the word sequence;
+    held (array): the template words that the text has."""
+    own = F.array(*map(F.lit, vocabulary(templates))).cast("array<string>")
     d = docs.select("doc_id", F.xxhash64("text").alias("key"), words(F.coalesce("text", F.lit(""))).alias("w"))
-    d = d.select("doc_id", "key", F.size("w").cast("long").alias("n_words"), F.concat(F.lit(" "), F.array_join("w", " "), F.lit(" ")).alias("s"))
+    d = d.select("doc_id", "key", F.size("w").cast("long").alias("n_words"), F.array_intersect(own, "w").alias("held"), F.concat(F.lit(" "), F.array_join("w", " "), F.lit(" ")).alias("s"))
     d = d.withColumn("any", F.col("s").contains(" license "))
     counts, first, last, labels = [], [], [], []
     blanks = lambda s: (F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit("")))).cast("long")
@@ -60,21 +66,20 @@ def base_scan(docs: DataFrame) -> DataFrame:
         labels.append(F.when(here, F.lit(label)))
     return d.select(
         "doc_id", "key", "n_words", sum(counts, F.lit(0).cast("long")).alias("n_base"), F.least(*first).alias("first_word"), F.greatest(*last).alias("last_word"),
-        F.array_compact(F.array(*labels)).alias("base_labels"),
+        F.array_compact(F.array(*labels)).alias("base_labels"), "held",
     )
 
 
-def order_of(docs: DataFrame, templates: list[tuple[str, str]]) -> dict[str, int]:
+def order_of(held: DataFrame, templates: list[tuple[str, str]]) -> dict[str, int]:
     """In how many documents each template word occurs; as many rows reach the driver as the templates have words."""
-    vocabulary = sorted({w for _, t in templates for w in t.split()})
-    held = docs.select(F.explode(F.array_intersect(words(F.col("text")), F.array(*map(F.lit, vocabulary)))).alias("w"))
-    return {w: 0 for w in vocabulary} | {r.w: r.n for r in held.groupBy("w").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counted = held.select(F.explode("held").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n")).collect()
+    return {w: 0 for w in vocabulary(templates)} | {r.w: r.n for r in counted}
 
 
-def template_join(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, key, block, label, containment, wrapped: every (line, template) pair that meets the threshold, and those of lines with their surroundings."""
+def template_join(docs: DataFrame, count: dict[str, int], templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, key, block, label, containment, wrapped: every (line, template) pair that meets the threshold, and those of lines with their
+    surroundings. ``count`` (``order_of``) orders the words; any order gives the same pairs."""
     spark = docs.sparkSession
-    count = order_of(docs, templates)
     rows = []
     for label, text in templates:
         own = sorted(set(text.split()), key=lambda w: (count[w], w))
@@ -119,10 +124,11 @@ def surroundings(docs: DataFrame, hit: str, reach: int) -> DataFrame:
 def scan(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     line = F.max(F.when(~F.col("wrapped"), F.col("containment")))
-    found = template_join(docs).groupBy("doc_id", "key", "label").agg(F.coalesce(line, F.max("containment")).alias("containment"))
+    # texts are taken apart once; what is written of them is small
+    base = stored(base_scan(docs), "licenses")
+    found = template_join(docs, order_of(base, TEMPLATES)).groupBy("doc_id", "key", "label").agg(F.coalesce(line, F.max("containment")).alias("containment"))
     found = found.groupBy("doc_id", "key").agg(F.collect_set("label").alias("found"), F.max("containment").alias("best"))
     found = found.select(F.col("doc_id").alias("_d"), F.col("key").alias("_k"), "found", "best")
-    base = base_scan(docs)
     both = base.join(found, base.doc_id.eqNullSafe(found._d) & (base.key == found._k), "left")
     return both.select(
         "doc_id", "n_words", "n_base", "first_word", "last_word",
