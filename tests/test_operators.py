@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vocabmill.functions import stats, text, units
-from vocabmill.operators import components, ecl, edges, editions, hierarchy, quality
+from vocabmill.operators import components, ecl, edges, editions, hierarchy, names, quality
 from vocabmill.sources import readers
 
 
@@ -56,6 +56,21 @@ def test_bridges(spark):
     assert got == {("A:1", "X:1", 1), ("X:1", "X:2", 1), ("A:2", "X:2", 1)}
 
 
+def test_main_component(spark):
+    nodes = spark.createDataFrame([("A:1", "A"), ("A:2", "A"), ("B:1", "B"), ("B:2", "B"), ("B:3", None)], "node string, vocab string")
+    links = spark.createDataFrame([("A:1", "B:1"), ("B:1", "A:2"), ("B:2", "B:3")], "a string, b string")
+    assert pairs(components.outside_main(nodes, links), "vocab", "nodes", "outside") == {("A", 2, 0), ("B", 2, 1), (None, 1, 1)}
+    assert pairs(components.reach_outside(nodes, links), "vocab", "nodes", "linked", "share") == {("A", 2, 2, 1.0), ("B", 2, 1, 0.5), (None, 1, 0, 0.0)}
+    assert components.outside_main(nodes.limit(0), links).count() == 0
+
+
+def test_longest_contained(spark):
+    known = spark.createDataFrame([("Red Eye", 5), ("red eye", 4), ("eye", 1), ("acute red eye pain", 9), ("", 7)], "name string, name_id int")
+    texts = spark.createDataFrame([(1, "severe red-eye"), (2, "EYE"), (3, "redeye"), (4, None), (5, ""), (6, "acute red eye pain, left"), (7, "Acute red eye pain")], "id int, text string")
+    assert pairs(names.longest_contained(texts, known, 3), "id", "name_id", "how") == {(1, 4, "contains"), (2, 1, "exact"), (6, 4, "contains"), (7, 9, "exact")}
+    assert pairs(names.longest_contained(texts, known, 4), "id", "name_id") == {(1, 4), (2, 1), (6, 9), (7, 9)}
+
+
 def test_ecl_syntax():
     assert ecl.parse("<< 1 OR < 2 : 3 = *").kind == "refined"
     assert ecl.shape('<<12 {{ term = "x" }}') == "<< N {{ TERM = S }}"

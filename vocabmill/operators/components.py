@@ -68,3 +68,25 @@ def bridges(links: DataFrame, pairs: DataFrame, hops: int = 12) -> DataFrame:
     if used is None:
         return goals.select(F.col("s").alias("a"), F.col("t").alias("b"), F.lit(0).cast("long").alias("paths")).limit(0)
     return used.groupBy(F.least("node", "parent").alias("a"), F.greatest("node", "parent").alias("b")).agg(F.count(F.lit(1)).alias("paths"))
+
+
+def outside_main(nodes: DataFrame, links: DataFrame, vocab: str = "vocab") -> DataFrame:
+    """(vocab, nodes, outside): how many nodes of each vocabulary, and how many of them outside the main component.
+
+    ``nodes``: node, vocab; ``links``: a, b. A node without links is a component of its own. The main component has the most nodes, of
+    several such the one with the smallest name. A vocabulary that is null counts as one.
+    """
+    named = nodes.select("node", vocab).join(components(links), "node", "left").select("node", vocab, F.coalesce("component", "node").alias("component"))
+    named = stored(named, "named")
+    main = named.groupBy("component").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "component").limit(1).select("component", F.lit(1).alias("main"))
+    held = named.join(F.broadcast(main), "component", "left")  # one row
+    return held.groupBy(vocab).agg(F.count(F.lit(1)).alias("nodes"), F.count_if(F.col("main").isNull()).alias("outside"))
+
+
+def reach_outside(nodes: DataFrame, links: DataFrame, vocab: str = "vocab") -> DataFrame:
+    """(vocab, nodes, linked, share): how many nodes of each vocabulary have a link to a node of another one."""
+    of = lambda c: nodes.select(F.col("node").alias(c), F.col(vocab).alias(f"{c}_vocab"))
+    far = links.select("a", "b").join(of("a"), "a").join(of("b"), "b").where("a_vocab <> b_vocab")
+    far = far.select(F.col("a").alias("node")).union(far.select("b")).distinct().withColumn("far", F.lit(1))
+    counted = nodes.select("node", vocab).join(far, "node", "left").groupBy(vocab).agg(F.count(F.lit(1)).alias("nodes"), F.count("far").alias("linked"))
+    return counted.withColumn("share", F.round(F.col("linked") / F.col("nodes"), 3))

@@ -203,6 +203,27 @@ def islands(s, d):
     return C.components(links).groupBy("component").agg(F.count(F.lit(1)).alias("nodes"))
 
 
+@query(f"""WITH RECURSIVE l AS ({_ISLES}), b AS (SELECT a, b FROM l UNION SELECT b, a FROM l), r(x, y) AS (SELECT a, a FROM b UNION SELECT r.x, b.b FROM r JOIN b ON b.a = r.y),
+    c AS (SELECT x, min(y) AS component FROM r GROUP BY 1), n AS (SELECT c_mktsegment AS vocab, coalesce(component, c_custkey) AS component FROM customer LEFT JOIN c ON x = c_custkey),
+    m AS (SELECT component FROM n GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
+    SELECT vocab, count(*) AS nodes, count(*) FILTER (WHERE component NOT IN (SELECT component FROM m)) AS outside FROM n GROUP BY 1""")
+def outside_main_component(s, d):
+    """Customers outside the largest island, by segment."""
+    k = F.col("c_custkey")
+    links = t(s, d, "customer").where("c_custkey % 5 <> 0").select(k.alias("a"), F.when(k % 2 == 0, F.expr("c_custkey div 3")).otherwise(k - 1).alias("b"))
+    return C.outside_main(t(s, d, "customer").select(k.alias("node"), F.col("c_mktsegment").alias("vocab")), links)
+
+
+@query(f"""WITH l AS ({_ISLES}), v AS (SELECT c_custkey AS k, c_mktsegment AS vocab FROM customer),
+    f AS (SELECT a, b FROM l JOIN v x ON x.k = a JOIN v y ON y.k = b WHERE x.vocab <> y.vocab), u AS (SELECT a AS k FROM f UNION SELECT b FROM f)
+    SELECT vocab, count(*) AS nodes, count(u.k) AS linked, round(count(u.k) / count(*), 3) AS share FROM v LEFT JOIN u USING (k) GROUP BY 1""")
+def reach_outside_vocab(s, d):
+    """Customers with a link to a customer of another segment."""
+    k = F.col("c_custkey")
+    links = t(s, d, "customer").where("c_custkey % 5 <> 0").select(k.alias("a"), F.when(k % 2 == 0, F.expr("c_custkey div 3")).otherwise(k - 1).alias("b"))
+    return C.reach_outside(t(s, d, "customer").select(k.alias("node"), F.col("c_mktsegment").alias("vocab")), links)
+
+
 def _twins(s, d):
     """Customers and suppliers are held equal by their rounded balance; a component with two customers is a conflict."""
     c = t(s, d, "customer").select(F.concat(F.lit("C:"), F.col("c_custkey")).alias("a"), F.concat_ws(":", F.lit("B"), F.col("c_nationkey").cast("string"), F.floor(F.col("c_acctbal") / 500).cast("string")).alias("b"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import stats as S
 from ..operators import editions as E
+from ..operators import names as N
 from .base import SQL_EDGE, edge, t
 
 QUERIES, ORACLES = {}, {}
@@ -198,3 +199,16 @@ def single_group_chain(s, d):
     o = t(s, d, "orders").select("o_custkey", "o_orderstatus", "o_orderpriority").distinct()
     one = o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("groups"), F.bool_or(F.col("o_orderpriority").like("1%")).alias("conditional")).where("groups = 1 and not conditional")
     return one.join(t(s, d, "customer"), F.col("c_custkey") == F.col("o_custkey")).join(t(s, d, "nation"), F.col("n_nationkey") == F.col("c_nationkey")).select("o_custkey", "n_name")
+
+
+@query(r"""WITH k AS (SELECT run, min(name_id) AS name_id, len(string_split(run, ' ')) AS words FROM (SELECT trim(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g')) AS run, p_partkey AS name_id FROM part
+        UNION ALL SELECT trim(regexp_replace(lower(p_type), '[^a-z0-9]+', ' ', 'g')), p_partkey FROM part) WHERE run <> '' GROUP BY 1),
+    a AS (SELECT DISTINCT p_partkey AS id, trim(regexp_replace(lower(CASE WHEN p_partkey % 3 = 0 THEN p_name ELSE 'new ' || p_type || ' (' || p_name || ')' END), '[^a-z0-9]+', ' ', 'g')) AS whole FROM part),
+    m AS (SELECT id, name_id, run, words, run <> whole AS other FROM a JOIN k ON contains(' ' || whole || ' ', ' ' || run || ' '))
+    SELECT id, name_id, CASE WHEN other THEN 'contains' ELSE 'exact' END AS how FROM m QUALIFY row_number() OVER (PARTITION BY id ORDER BY other, words DESC, run) = 1""")
+def longest_name_inside(s, d):
+    """The longest known name that stands in a text as whole words."""
+    p = t(s, d, "part")
+    names = p.select(F.col("p_name").alias("name"), F.col("p_partkey").alias("name_id")).union(p.select("p_type", "p_partkey"))
+    text = F.when(F.col("p_partkey") % 3 == 0, F.col("p_name")).otherwise(F.concat(F.lit("new "), "p_type", F.lit(" ("), "p_name", F.lit(")")))
+    return N.longest_contained(p.select(F.col("p_partkey").alias("id"), text.alias("text")), names, 6)
