@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.storage import shared_folder
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -19,15 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder that the driver and every executor see.
 
-    It lies under ``spark.checkpoint.dir`` of the session. Only where that is unset, as in tests,
-    a folder of the local machine is taken (and set, for checkpoints).
+    It lies under ``spark.checkpoint.dir`` of the session. Where that is unset a folder of the local machine is taken (and set, for
+    checkpoints), but only if the session runs on one machine, as in tests; else an error is raised.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file:///tmp/vocabmill-shared"
-        spark.conf.set("spark.checkpoint.dir", base)
+    unset = not spark.conf.get("spark.checkpoint.dir", None)
+    base = shared_folder(spark)
+    if unset:
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
