@@ -138,6 +138,22 @@ def test_numbering(spark):
     assert sorted(got) == list(enumerate(sorted(str(i) for i in range(500)), 1))
 
 
+def test_numbering_once(spark):
+    """Bounds of ranges are sampled anew in each run, which must not show in the numbers."""
+    rows = spark.range(20000).select(F.lit("A").alias("s_vocab"), F.col("id").cast("string").alias("s_code"), *[F.lit("x").alias(c) for c in edges.EDGE[2:]])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else so few rows are one range
+    try:
+        got = sorted((r.edge_id, r.s_code) for r in edges.numbered(rows).collect())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == list(enumerate(sorted(str(i) for i in range(20000)), 1))
+
+
+def test_numbering_nulls(spark):
+    rows = spark.createDataFrame([("A", c, *["x"] * 10) for c in ("b", None, "a")], ", ".join(f"{c} string" for c in edges.EDGE))
+    assert sorted((r.edge_id, r.s_code) for r in edges.numbered(rows).collect()) == [(1, "a"), (2, "b"), (3, None)]
+
+
 def test_rule_syntax():
     assert quality.terms("<< 12 |x| OR ^ 9") == [("<<", 12), ("^", 9)] and quality.terms("< 1 : 2 = 3") is None
     assert quality.terms("(<< 12 OR 7)") == [("<<", 12), ("self", 7)] and quality.terms("dec(>#0..)") is None
