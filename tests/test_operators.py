@@ -71,6 +71,19 @@ def test_longest_contained(spark):
     assert pairs(names.longest_contained(texts, known, 4), "id", "name_id") == {(1, 4), (2, 1), (6, 9), (7, 9)}
 
 
+def test_longest_contained_sides(spark, monkeypatch, capsys):
+    """Runs, whose number sizes of tables do not show, are never the broadcast side; names only where they are few."""
+    texts = spark.range(40).select("id", F.concat(F.lit("red eye "), "id").alias("text"))
+    known = spark.range(40).select(F.concat(F.lit("eye "), "id").alias("name"), F.col("id").alias("name_id"))
+    for most, plan in ((1000, "BuildRight"), (10, "SortMergeJoin")):
+        monkeypatch.setattr(names, "BROADCAST_NAMES", most)
+        found = names.longest_contained(texts, known.union(known), 3)
+        assert pairs(found, "id", "name_id", "how") == {(i, i, "contains") for i in range(40)}
+        found.explain()
+        shown = capsys.readouterr().out
+        assert plan in shown and "BuildLeft" not in shown and ("BroadcastHashJoin" in shown) == (most == 1000)
+
+
 def test_ecl_syntax():
     assert ecl.parse("<< 1 OR < 2 : 3 = *").kind == "refined"
     assert ecl.shape('<<12 {{ term = "x" }}') == "<< N {{ TERM = S }}"
