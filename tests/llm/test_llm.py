@@ -606,6 +606,19 @@ def test_lines_edges(spark):
     assert sorted((r.doc_id, r.line) for r in lines.duplicates(d).collect()) == [(1, 0), (2, 0)]
 
 
+def test_lines_leave_no_tables(spark):
+    """Only the table that the result reads stays; the result can be read again, and two calls don't meet."""
+    from pathlib import Path
+
+    folder = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
+    before = {p for p in folder.rglob("*.parquet")}
+    got = [lines.dedup(docs(spark, ["one two three\nfour", "one two tree", "one two three"]), "kept", **lines.WHOLE) for _ in range(2)]
+    left = {p.relative_to(folder).parts for p in folder.rglob("*.parquet") if p not in before}
+    assert len({x[0] for x in left}) == 2 and all(len(x) == 2 and x[0].startswith("kept-") for x in left)
+    for df in (*got, *got):
+        assert by_id(df, "text") == {0: ("one two three\nfour",)}
+
+
 # ---------------------------------------------------------------- the pipeline
 
 

@@ -22,10 +22,12 @@ that loses every line that has words is dropped by ``dedup``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import aside, stored, table
+from .common import aside, discard, stored, table
 
 MIN_WORDS, NEAR_WORDS = 3, 8
 #: Every line with words, and every near pair: a line of two words can be near to one of three.
@@ -157,7 +159,10 @@ def dedup(docs: DataFrame, name: str = "lines", min_words: int = MIN_WORDS, near
     """``docs`` without those lines; a document that had words and has none left is dropped."""
     columns = docs.columns
     docs, back = aside(docs, "gone", "_id", "_cut")
-    g = stored(gone(docs, name, min_words, near_words), name).withColumnRenamed("doc_id", "_id")
+    # what leads to the numbers of the lines is removed before whole texts may have to travel to them
+    work = f"{name}-{uuid.uuid4().hex}"
+    g = stored(gone(docs, f"{work}/{name}", min_words, near_words), name).withColumnRenamed("doc_id", "_id")
+    discard(docs.sparkSession, work)
     both = docs.join(g, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
     kept = F.array_join(F.expr("filter(split(text, '\\n'), (x, i) -> not array_contains(gone, i))"), "\n")
     both = both.withColumn("_cut", F.col("gone").isNotNull() & F.col("text").isNotNull()).withColumn("text", F.when(F.col("_cut"), kept).otherwise(F.col("text")))
